@@ -14,11 +14,11 @@ from placemill.runtime import broadcast_if_small
 def attach_state(
     df: DataFrame, states: DataFrame, code_col: str, how: str = "left", out: str = "estado"
 ) -> DataFrame:
-    """Add the long state name ``out`` for the two-letter code in ``code_col``."""
+    """Add the long state name ``out``, replacing an old one, for the code in ``code_col``."""
     names = states.select(
         F.col("nombre_corto").alias(code_col), strip_ws("nombre_largo").alias(out)
     )
-    return df.join(broadcast_if_small(names), code_col, how)
+    return df.drop(out).join(broadcast_if_small(names), code_col, how)
 
 
 def parse_address(

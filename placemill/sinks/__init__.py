@@ -1,6 +1,6 @@
 """Table loads, file exports and contiguous splits."""
 
-from placemill.sinks.files import write_csv, write_parts
+from placemill.sinks.files import write_csv, write_json_arrays, write_parts
 from placemill.sinks.tables import TableSet, append_table, conform, save, write_all
 
 __all__ = [
@@ -10,5 +10,6 @@ __all__ = [
     "save",
     "write_all",
     "write_csv",
+    "write_json_arrays",
     "write_parts",
 ]

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 SINGLE_FILE_ROWS = 1_000_000
 
@@ -33,3 +37,24 @@ def write_csv(
 def write_parts(df: DataFrame, path: str, *, part: str = "part", fmt: str = "parquet") -> None:
     """One folder per value of ``part`` (see ``split_contiguous``)."""
     df.write.mode("overwrite").partitionBy(part).format(fmt).save(path)
+
+
+def write_json_arrays(df: DataFrame, path: str) -> None:
+    """One valid JSON array per output file, with one row per line.
+
+    Readers must take an array file in one task, so keep partitions small. The
+    rows of a partition pass through in batches and are never held together.
+    """
+    rows = df.select(F.to_json(F.struct(*df.columns)).alias("value"))
+    rows.mapInPandas(_as_array, "value string").write.mode("overwrite").text(path)
+
+
+def _as_array(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    opening = "["
+    for batch in batches:
+        if len(batch):
+            lines = "," + batch["value"]
+            lines.iloc[0] = opening + batch["value"].iloc[0]
+            opening = ","
+            yield lines.to_frame()
+    yield pd.DataFrame({"value": ["]" if opening == "," else "[]"]})

@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from placemill.operators.incremental import only_new
 from placemill.sinks.tables import conform, write_all
@@ -48,7 +48,7 @@ class BatchFolders:
         return self._stored(spark, name).drop("batch_id")
 
     def _stored(self, spark: SparkSession, name: str) -> DataFrame:
-        columns = StructType(self.schemas[name].fields).add("batch_id", "long")
+        columns = StructType([*self.schemas[name].fields, StructField("batch_id", LongType())])
         folder = f"{self.root}/{name}"
         if not _exists(spark, folder):
             return spark.createDataFrame([], columns)
