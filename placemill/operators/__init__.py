@@ -7,6 +7,7 @@ from placemill.operators.filters import (
     has_category,
     has_token,
     in_states,
+    not_null,
     not_sentinel,
     year_between,
 )
@@ -31,6 +32,7 @@ __all__ = [
     "has_token",
     "in_states",
     "map_columns",
+    "not_null",
     "not_sentinel",
     "null_counts",
     "only_new",

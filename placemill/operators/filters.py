@@ -12,6 +12,17 @@ from placemill.functions.temporal import year_bounds
 from placemill.functions.text import contains_token
 
 
+def not_null(df: DataFrame, *cols: str) -> DataFrame:
+    """Rows without a null in the given columns.
+
+    Spelled as ``IS NOT NULL``, which scans can use and which joins on the same
+    columns would add anyway, so equal subplans stay equal and are reused.
+    """
+    for name in cols:
+        df = df.filter(F.col(name).isNotNull())
+    return df
+
+
 def has_category(df: DataFrame, col: str, value: str) -> DataFrame:
     """Rows whose array column holds ``value`` as a whole item."""
     return df.filter(F.array_contains(F.col(col), value))

@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from placemill.operators.dedupe import dedupe_first
+from placemill.operators.filters import not_null
 
 
 def playtime_by_genre_year(facts: DataFrame) -> DataFrame:
     """Playtime per ``(genres, release_year)``; null keys are dropped."""
     keys = ["genres", "release_year"]
     total = F.coalesce(F.sum("playtime_forever"), F.lit(0)).alias("playtime_forever")
-    return facts.dropna(subset=keys).groupBy(*keys).agg(total)
+    return not_null(facts, *keys).groupBy(*keys).agg(total)
 
 
 def best_year(agg: DataFrame, genre: str | None = None) -> DataFrame:
@@ -41,7 +42,7 @@ def top_user(facts: DataFrame, genre: str | None = None) -> DataFrame:
         facts = facts.filter(F.col("genres") == genre.lower())
     keys = ["genres", "user_id", "release_year"]
     total = F.coalesce(F.sum("playtime_forever"), F.lit(0)).alias("playtime_forever")
-    sums = facts.dropna(subset=keys).groupBy(*keys).agg(total)
+    sums = not_null(facts, *keys).groupBy(*keys).agg(total)
     rank = F.struct(-F.col("playtime_forever"), "user_id", "release_year")
     winners = sums.groupBy("genres").agg(F.min_by("user_id", rank).alias("user_id"))
     return sums.join(winners, ["genres", "user_id"]).orderBy(
@@ -125,13 +126,13 @@ def similar_items(
         scored = sims_or_vectors.join(F.broadcast(anchor), "i").select("j", "sim")
     else:
         scored = cosine_to(sims_or_vectors, wanted.select("idx"))
+    # Null similarities order last, so they can go after the limit.
     order = [F.desc("sim"), F.col("j")]
     ranked = (
-        scored.filter(F.col("sim").isNotNull())
-        .orderBy(*order)
+        scored.orderBy(*order)
         .limit(k + 1)
         .withColumn("position", F.row_number().over(Window.orderBy(*order)) - 1)
-        .filter(F.col("position") > 0)
+        .filter((F.col("position") > 0) & F.col("sim").isNotNull())
     )
     names = items.select(F.col("idx").alias("j"), "game_id", "game_name")
     # At most k rows: they go to the items, not the items to them.
@@ -142,18 +143,22 @@ def similar_items(
 def cosine_to(vectors: DataFrame, anchor: DataFrame) -> DataFrame:
     """``(j, sim)``: cosine of every vector with the one whose ``idx`` is in ``anchor``.
 
-    The anchor's vector is a scalar subquery: one scan scores all vectors.
+    The anchor's vector is a scalar subquery: one scan scores all vectors. A
+    vector of length zero has no direction, its similarity is null.
     """
-    own = vectors.join(F.broadcast(anchor), "idx").select("embedding").limit(1).scalar()
     zero = F.lit(0.0)
     norm = F.sqrt(F.aggregate("embedding", zero, lambda s, x: s + x.cast("double") * x))
-    dot = F.aggregate(
-        F.zip_with("embedding", "_own", lambda x, y: x.cast("double") * y), zero, lambda s, x: s + x
+    own = (
+        vectors.join(F.broadcast(anchor), "idx")
+        .select(F.struct("embedding", norm.alias("norm")))
+        .limit(1)
+        .scalar()
+    )
+    products = F.zip_with("embedding", "_own.embedding", lambda x, y: x.cast("double") * y)
+    dot = F.aggregate(products, zero, lambda s, x: s + x)
+    return vectors.withColumn("_own", own).select(
+        F.col("idx").alias("j"), F.try_divide(dot, norm * F.col("_own.norm")).alias("sim")
     )
-    own_norm = F.sqrt(F.aggregate("_own", zero, lambda s, x: s + x.cast("double") * x))
-    scored = vectors.withColumn("_own", own)
-    # A zero vector has no direction: its similarity is null.
-    return scored.select(F.col("idx").alias("j"), F.try_divide(dot, norm * own_norm).alias("sim"))
 
 
 def neighbours(sims: DataFrame, k: int = 5) -> DataFrame:

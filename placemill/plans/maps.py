@@ -24,7 +24,7 @@ from placemill.constants import (
 )
 from placemill.functions.temporal import from_millis, year_bounds
 from placemill.operators.dedupe import dedupe_first, first_rows
-from placemill.operators.filters import exclude_values, has_category, in_states
+from placemill.operators.filters import exclude_values, has_category, in_states, not_null
 from placemill.operators.incremental import only_new
 from placemill.operators.nested import explode_option
 from placemill.operators.states import parse_address
@@ -46,7 +46,7 @@ def _restaurants(
 ) -> DataFrame:
     """Restaurants of the kept states, one row per place, with city and state."""
     sites = dedupe_first(inputs["sites"], ["gmap_id"], order_by, scope=scope)
-    sites = has_category(sites.dropna(subset=["address", "category"]), "category", MAPS_RESTAURANT)
+    sites = has_category(not_null(sites, "address", "category"), "category", MAPS_RESTAURANT)
     sites = exclude_values(sites.fillna({"price": NO_DATA}), "address", bad_addresses)
     return in_states(parse_address(sites, inputs["states"], mode=mode), "state")
 
@@ -94,7 +94,7 @@ def build_maps_sites(
 
 def _options(parent: DataFrame, col: str, out: str, outer: bool) -> DataFrame:
     """Option rows of one group; a place without the group has none."""
-    return explode_option(parent.dropna(subset=[col]), "business_id", col, out, outer=outer)
+    return explode_option(not_null(parent, col), "business_id", col, out, outer=outer)
 
 
 def build_maps_business(
@@ -117,7 +117,7 @@ def build_maps_restaurants(inputs: Mapping[str, DataFrame]) -> TableSet:
 
 def build_maps_slim(inputs: Mapping[str, DataFrame]) -> TableSet:
     """``sites`` with address and category, reduced to seven columns."""
-    sites = inputs["sites"].dropna(subset=["address", "category"])
+    sites = not_null(inputs["sites"], "address", "category")
     return TableSet({"sitios_gmaps": conform(sites, schemas.SITES_SLIM)})
 
 
@@ -145,7 +145,7 @@ def build_maps_reviews(inputs: Mapping[str, DataFrame]) -> TableSet:
     )
     tables = {"reviews": reviews}
     if "resp" in dated.columns:
-        tables["resp_reviews"] = dated.dropna(subset=["resp"]).select(
+        tables["resp_reviews"] = not_null(dated, "resp").select(
             F.col("gmap_id").alias("business_id"),
             from_millis("resp.time").alias("time"),
             F.col("resp.text").alias("text"),

@@ -19,7 +19,7 @@ from placemill.functions.temporal import parse_timestamp
 from placemill.functions.text import split_list, strip_ws
 from placemill.operators.columns import dedupe_column_names
 from placemill.operators.dedupe import dedupe_first
-from placemill.operators.filters import has_token, in_states, year_between
+from placemill.operators.filters import has_token, in_states, not_null, year_between
 from placemill.operators.incremental import restrict_to
 from placemill.operators.nested import explode_option, map_columns
 from placemill.operators.states import attach_state
@@ -34,7 +34,7 @@ def _restaurants(
     business = dedupe_column_names(inputs["business"])
     business = dedupe_first(business, ["business_id"], order_by, scope=scope)
     business = has_token(business, "categories", YELP_RESTAURANT, trim_tokens=trim_tokens)
-    business = business.dropna(subset=["state"]).withColumn("state", strip_ws("state"))
+    business = not_null(business, "state").withColumn("state", strip_ws("state"))
     return in_states(attach_state(business, inputs["states"], "state"), "estado")
 
 
@@ -54,7 +54,7 @@ def _business_tables(kept: DataFrame, city: str, state: str) -> TableSet:
     )
     items = split_list("categories")
     category = explode_option(parent, "business_id", items, "category_name")
-    category = category.dropna(subset=["category_name"]).select(
+    category = not_null(category, "category_name").select(
         "business_id", strip_ws("category_name").alias("category_name")
     )
     attributes = map_columns(
@@ -88,7 +88,7 @@ def build_yelp_business_placed(inputs: Mapping[str, DataFrame]) -> TableSet:
 
     This variant neither deduplicates nor keeps restaurants only.
     """
-    business = inputs["business"].dropna(subset=["categories"])
+    business = not_null(inputs["business"], "categories")
     placed = in_states(business.withColumn("estado", strip_ws("estado")), "estado")
     return _business_tables(placed, "ciudad", "estado")
 

@@ -9,6 +9,7 @@ from placemill.operators import (
     has_category,
     has_token,
     in_states,
+    not_null,
     not_sentinel,
     only_new,
     parse_address,
@@ -28,7 +29,7 @@ from suite.registry import query
     ),
 )
 def drop_nulls(t):
-    kept = inputs.sites(t).dropna(subset=["address", "category"])
+    kept = not_null(inputs.sites(t), "address", "category")
     return kept.select("source_seq", "address", "state")
 
 
