@@ -4,11 +4,11 @@ The gazetteer is turned into a grid index: per cell, the places that can be the
 nearest one for some point in the cell. A point then needs one equality lookup
 on its cell and never meets the rest of the gazetteer.
 
-Which places a cell keeps is exact. With ``h`` the distance from a cell's centre
-to its farthest corner, a point lies within ``h`` of the centre, so by the
-triangle inequality only places at most ``2h`` farther from the centre than the
-closest one can win. Cells that keep many places are cut into four and indexed
-again, which keeps the lists short in dense areas.
+Which places a cell keeps is exact. The points closer to one place than to
+another form a half of the sphere, so if all corners of a cell are closer to the
+one, the whole cell is, and the other cannot win there. Cells that keep many
+places are cut into four and indexed again, which keeps the lists short in dense
+areas.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ EARTH_KM = 6371.0088
 KM_PER_DEGREE = EARTH_KM * math.pi / 180
 DENSE_CELL = 64  # places in one cell above which the cell is cut into four
 MAX_LEVEL = 12
+SLACK = 1e-13  # rounding of cosines: places this close to a tie are kept
+SLACK_KM = 0.1  # the same for distances taken from cosines
 
 
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
@@ -60,7 +62,7 @@ def attach_place(
             F.col("_row").alias(row), F.col("_col").alias(col), F.col("_places").alias(hit)
         )
         found = (
-            found.withColumns({row: F.floor(lat / size), col: F.floor(_wrap(lon) / size)})
+            found.withColumns({row: _row_of(lat, size), col: F.floor(_wrap(lon) / size)})
             .join(broadcast_if_small(lookup), [row, col], "left")
             .drop(row, col)
         )
@@ -85,10 +87,15 @@ def _wrap(lon: Column) -> Column:
     return F.pmod(lon + 180.0, F.lit(360.0)) - 180.0
 
 
+def _row_of(lat: Column, size: float) -> Column:
+    """The grid row of a latitude; the pole belongs to the last row."""
+    return F.least(F.floor(lat / size), F.lit(round(90 / size) - 1))
+
+
 def _grid_index(gazetteer: DataFrame, max_km: float, cell_deg: float) -> list[DataFrame]:
     """Per level, ``(_row, _col, _places)`` of the cells that are not cut further."""
-    if cell_deg <= 0 or abs(180 / cell_deg - round(180 / cell_deg)) > 1e-9:
-        raise ValueError("cell_deg must divide 180")
+    if cell_deg <= 0 or abs(90 / cell_deg - round(90 / cell_deg)) > 1e-9:
+        raise ValueError("cell_deg must divide 90")
     usable = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
     places = (
         gazetteer.filter(usable)
@@ -127,7 +134,10 @@ def _near_cells(places: DataFrame, max_km: float, size: float) -> DataFrame:
     """
     lat, lon = F.col("latitude"), F.col("longitude")
     reach = max_km / KM_PER_DEGREE + 1e-9
-    rows = F.sequence(F.floor((lat - reach) / size), F.floor((lat + reach) / size))
+    rows = F.sequence(
+        F.greatest(F.floor((lat - reach) / size), F.lit(-round(90 / size))),
+        _row_of(lat + reach, size),
+    )
     # Widest longitude reach over the rows: at the latitude closest to a pole.
     widest = F.cos(F.radians(F.least(F.abs(lat) + reach, F.lit(90.0))))
     ratio = math.sin(min(reach, 90.0) * math.pi / 180) / F.greatest(widest, F.lit(1e-9))
@@ -146,15 +156,50 @@ def _near_cells(places: DataFrame, max_km: float, size: float) -> DataFrame:
 
 
 def _possible_nearest(members: DataFrame, max_km: float, size: float) -> DataFrame:
-    """Drop places that are nearest, within ``max_km``, for no point of the cell."""
-    mid_lat, mid_lon = (F.col("_row") + 0.5) * size, (F.col("_col") + 0.5) * size
-    # Any point of the cell is reached by going half a cell along the middle
-    # latitude and then half a cell along a meridian, at most.
-    half = haversine_km(mid_lat, mid_lon, mid_lat, mid_lon + size / 2) + size / 2 * KM_PER_DEGREE
-    km = haversine_km(mid_lat, mid_lon, F.col("latitude"), F.col("longitude"))
-    measured = members.withColumns({"_km": km, "_half": half})
-    closest = measured.groupBy("_row", "_col").agg(F.min("_km").alias("_closest"))
-    keep = (F.col("_km") <= F.col("_closest") + 2 * F.col("_half") + 1e-6) & (
-        F.col("_km") <= F.col("_half") + max_km + 1e-6
+    """Drop places that are nearest, within ``max_km``, for no point of the cell.
+
+    Every place is compared with five of its cell: those closest to the middle
+    and to the four corners. It goes if one of them is closer at all corners.
+    """
+    corners, middle = _cell_points(size)
+    # Cosines of the distances: larger is closer.
+    near = F.array(*[_cosine(*point) for point in (*corners, middle)])
+    km = F.acos(F.greatest(F.least(F.col("_near")[4], F.lit(1.0)), F.lit(-1.0))) * EARTH_KM
+    # Any point of the cell is reached from its middle by going half a cell along
+    # the middle latitude and then half a cell along a meridian, at most.
+    row = F.col("_row")
+    mid_lat = (row + 0.5) * size
+    zero = F.lit(0.0)
+    half = haversine_km(mid_lat, zero, mid_lat, F.lit(size / 2)) + size / 2 * KM_PER_DEGREE
+    measured = members.withColumn("_near", near).filter(km <= half + max_km + SLACK_KM)
+    closest = measured.groupBy("_row", "_col").agg(
+        F.array(*[F.max_by("_near", F.col("_near")[at]) for at in range(5)]).alias("_closest")
     )
-    return measured.join(closest, ["_row", "_col"]).filter(keep).select(*members.columns)
+
+    def beaten_by(rival: Column) -> Column:
+        ahead = [rival[at] > F.col("_near")[at] + SLACK for at in range(4)]
+        return ahead[0] & ahead[1] & ahead[2] & ahead[3]
+
+    possible = ~F.exists("_closest", beaten_by)
+    return measured.join(closest, ["_row", "_col"]).filter(possible).select(*members.columns)
+
+
+def _cell_points(size: float) -> tuple[list[tuple[Column, Column]], tuple[Column, Column]]:
+    """Corners and middle of a cell, in radians.
+
+    Great circles between the corners must enclose the cell. They bend towards
+    the pole, so the corners on the side of the equator are moved outwards.
+    """
+    row, step = F.col("_row"), math.radians(size)
+    south, north = row * step, (row + 1) * step
+    outer_south = F.when(row >= 0, F.atan(F.tan(south) * math.cos(step / 2))).otherwise(south)
+    outer_north = F.when(row < 0, F.atan(F.tan(north) * math.cos(step / 2))).otherwise(north)
+    west, east = F.col("_col") * step, (F.col("_col") + 1) * step
+    corners = [(lat, lon) for lat in (outer_south, outer_north) for lon in (west, east)]
+    return corners, ((south + north) / 2, (west + east) / 2)
+
+
+def _cosine(lat: Column, lon: Column) -> Column:
+    """Cosine of the angle between a point, in radians, and the place of a row."""
+    own_lat, own_lon = F.radians("latitude"), F.radians("longitude")
+    return F.sin(lat) * F.sin(own_lat) + F.cos(lat) * F.cos(own_lat) * F.cos(lon - own_lon)

@@ -22,6 +22,7 @@ def spark(tmp_path_factory):
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.maxMetadataStringLength", "1000")
         .config("spark.checkpoint.dir", str(folder / "shared"))
         .config("spark.sql.warehouse.dir", str(folder / "warehouse"))
         .getOrCreate()
