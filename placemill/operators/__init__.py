@@ -16,6 +16,7 @@ from placemill.operators.incremental import only_new, restrict_to
 from placemill.operators.nested import explode_option, fill_nulls, map_columns
 from placemill.operators.profiling import null_counts, profile, value_counts
 from placemill.operators.rowindex import row_range, split_contiguous, with_row_index
+from placemill.operators.spread import spread_join
 from placemill.operators.states import attach_state, parse_address
 
 __all__ = [
@@ -41,6 +42,7 @@ __all__ = [
     "restrict_to",
     "row_range",
     "split_contiguous",
+    "spread_join",
     "value_counts",
     "with_row_index",
     "year_between",

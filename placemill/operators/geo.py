@@ -18,6 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from placemill.operators.spread import spread_join
 from placemill.runtime import broadcast_if_small, cut_lineage
 
 EARTH_KM = 6371.0088
@@ -61,11 +62,8 @@ def attach_place(
         lookup = index.select(
             F.col("_row").alias(row), F.col("_col").alias(col), F.col("_places").alias(hit)
         )
-        found = (
-            found.withColumns({row: _row_of(lat, size), col: F.floor(_wrap(lon) / size)})
-            .join(broadcast_if_small(lookup), [row, col], "left")
-            .drop(row, col)
-        )
+        located = found.withColumns({row: _row_of(lat, size), col: F.floor(_wrap(lon) / size)})
+        found = spread_join(located, broadcast_if_small(lookup), [row, col], "left").drop(row, col)
     ranked = F.transform(
         F.coalesce(*hits),
         lambda place: F.struct(
@@ -110,17 +108,14 @@ def _grid_index(gazetteer: DataFrame, max_km: float, cell_deg: float) -> list[Da
         sizes = kept.groupBy("_row", "_col").agg(F.count("*").alias("_size"))
         dense = sizes.filter(F.col("_size") > DENSE_CELL).select("_row", "_col")
         more = level < MAX_LEVEL and not dense.isEmpty()
-        leaves = kept.join(dense, ["_row", "_col"], "left_anti") if more else kept
-        levels.append(
-            leaves.groupBy("_row", "_col").agg(
-                F.collect_list(F.struct("latitude", "longitude", "city", "state")).alias("_places")
-            )
-        )
+        leaves = spread_join(kept, dense, ["_row", "_col"], "left_anti") if more else kept
+        places = F.collect_list(F.struct("latitude", "longitude", "city", "state"))
+        levels.append(cut_lineage(leaves.groupBy("_row", "_col").agg(places.alias("_places"))))
         if not more:
             break
         halves = F.array(F.lit(0), F.lit(1))
         members = (
-            kept.join(dense, ["_row", "_col"], "left_semi")
+            spread_join(kept, dense, ["_row", "_col"], "left_semi")
             .withColumn("_row", F.explode(F.transform(halves, lambda h: F.col("_row") * 2 + h)))
             .withColumn("_col", F.explode(F.transform(halves, lambda h: F.col("_col") * 2 + h)))
         )
@@ -181,7 +176,8 @@ def _possible_nearest(members: DataFrame, max_km: float, size: float) -> DataFra
         return ahead[0] & ahead[1] & ahead[2] & ahead[3]
 
     possible = ~F.exists("_closest", beaten_by)
-    return measured.join(closest, ["_row", "_col"]).filter(possible).select(*members.columns)
+    rivals = spread_join(measured, closest, ["_row", "_col"], "inner")
+    return rivals.filter(possible).select(*members.columns)
 
 
 def _cell_points(size: float) -> tuple[list[tuple[Column, Column]], tuple[Column, Column]]:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from placemill.operators.spread import spread_join
+
 
 def restrict_to(df: DataFrame, keys_df: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose key occurs in ``keys_df``; null matches nothing.
@@ -14,7 +16,7 @@ def restrict_to(df: DataFrame, keys_df: DataFrame, on: str | Sequence[str]) -> D
     Keys are made distinct before they move, so copies of one key cost nothing.
     """
     on = [on] if isinstance(on, str) else list(on)
-    return df.join(keys_df.select(*on).distinct(), on, "left_semi")
+    return spread_join(df, keys_df.select(*on).distinct(), on, "left_semi")
 
 
 def only_new(
@@ -38,4 +40,4 @@ def only_new(
         known = known.filter(
             F.col(prune_on).between(F.lit(low).cast(kind), F.lit(high).cast(kind))
         )
-    return batch.join(known.distinct(), keys, "left_anti")
+    return spread_join(batch, known.distinct(), keys, "left_anti")

@@ -6,7 +6,8 @@ the numbering see the same partitions even if executors are lost. Cutting rows
 into ranges only needs a few boundary keys: just the key columns are sorted and
 the full rows are compared with the boundaries as they are scanned.
 
-``order_by`` must name columns that together are unique; nulls come first.
+``order_by`` must name columns that together are unique; nulls come first. The
+input is read more than once, so it should come from storage.
 """
 
 from __future__ import annotations
@@ -75,8 +76,17 @@ def split_contiguous(
         return df.withColumn(out, F.lit(n - 1))
     starts = [part * size for part in range(1, n) if part * size < rows]
     keys = _keys_at(df, order_by, starts)
-    reached = [_from_key(df, order_by, keys[start]).cast("int") for start in starts]
-    return df.withColumn(out, sum(reached, F.lit(0)))
+    reached = [_from_key(df, order_by, keys[start]) for start in starts]
+    return df.withColumn(out, _count_reached(reached, 0, len(reached)))
+
+
+def _count_reached(reached: Sequence[Column], low: int, high: int) -> Column:
+    """How many boundaries a row has reached, by halving: few comparisons per row."""
+    if low == high:
+        return F.lit(low)
+    middle = (low + high + 1) // 2
+    upper = _count_reached(reached, middle, high)
+    return F.when(reached[middle - 1], upper).otherwise(_count_reached(reached, low, middle - 1))
 
 
 def _keys_at(df: DataFrame, order_by: Sequence[str], places: Sequence[int]) -> dict:

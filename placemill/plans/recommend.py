@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from placemill.constants import SCALED_FEATURES
 
 CENTRE_COLUMNS = ("latitude", "longitude", *SCALED_FEATURES)
+MAX_ITERATIONS = 300  # a bound only: iterations stop when the centres rest
 
 
 def column_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -50,8 +51,10 @@ def fit_clusters(
     if df.limit(k).count() < k:
         raise ValueError(f"fewer than {k} rows to cluster")
     points = VectorAssembler(inputCols=list(cols), outputCol="features").transform(df)
-    model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(points)
-    return points, model
+    estimator = KMeans(
+        k=k, seed=seed, maxIter=MAX_ITERATIONS, featuresCol="features", predictionCol="cluster"
+    )
+    return points, estimator.fit(points)
 
 
 def cluster(df: DataFrame, cols: Sequence[str], k: int = 5, seed: int = 42) -> DataFrame:

@@ -34,8 +34,16 @@ def write_csv(
     return target
 
 
-def write_parts(df: DataFrame, path: str, *, part: str = "part", fmt: str = "parquet") -> None:
-    """One folder per value of ``part`` (see ``split_contiguous``)."""
+def write_parts(
+    df: DataFrame, path: str, *, part: str = "part", fmt: str = "parquet", rebalance: bool = False
+) -> None:
+    """One folder per value of ``part`` (see ``split_contiguous``).
+
+    Each task writes what it has of every part. ``rebalance`` shuffles rows by
+    part first, into files of even size: fewer files if parts are scattered.
+    """
+    if rebalance:
+        df = df.hint("rebalance", part)
     df.write.mode("overwrite").partitionBy(part).format(fmt).save(path)
 
 
@@ -45,16 +53,17 @@ def write_json_arrays(df: DataFrame, path: str) -> None:
     Readers must take an array file in one task, so keep partitions small. The
     rows of a partition pass through in batches and are never held together.
     """
+
+    # Local, so that it travels by value and executors need not have this package.
+    def as_array(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        opening = "["
+        for batch in batches:
+            if len(batch):
+                lines = "," + batch["value"]
+                lines.iloc[0] = opening + batch["value"].iloc[0]
+                opening = ","
+                yield lines.to_frame()
+        yield pd.DataFrame({"value": ["]" if opening == "," else "[]"]})
+
     rows = df.select(F.to_json(F.struct(*df.columns)).alias("value"))
-    rows.mapInPandas(_as_array, "value string").write.mode("overwrite").text(path)
-
-
-def _as_array(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    opening = "["
-    for batch in batches:
-        if len(batch):
-            lines = "," + batch["value"]
-            lines.iloc[0] = opening + batch["value"].iloc[0]
-            opening = ","
-            yield lines.to_frame()
-    yield pd.DataFrame({"value": ["]" if opening == "," else "[]"]})
+    rows.mapInPandas(as_array, "value string").write.mode("overwrite").text(path)

@@ -72,10 +72,11 @@ def read_many(
     *,
     glob: str,
     with_file: bool = True,
+    mode: str = "FAILFAST",
     **options: str,
 ) -> DataFrame:
     """One scan over all files below ``folder`` whose name matches ``glob``."""
-    reader = _reader(spark, glob).option("recursiveFileLookup", True)
+    reader = _reader(spark, glob).options(recursiveFileLookup=True, mode=mode)
     df = reader.schema(schema).options(**options).format(fmt).load(folder)
     return with_position(df) if with_file else df
 

@@ -30,18 +30,25 @@ class BatchFolders:
     A batch always writes the same folder, in overwrite mode. ``schemas`` gives
     the declared columns per table. Tables named in ``new_only`` map to the
     columns to leave out of the comparison; of their rows only those are written
-    that equal no row of an earlier batch.
+    that equal no row of an earlier batch. ``prune_on`` names, per table, a column
+    whose range in the batch limits the earlier rows that are read for that.
     """
 
     root: str
     schemas: Mapping[str, StructType]
     new_only: Mapping[str, Sequence[str]] = field(default_factory=dict)
+    prune_on: Mapping[str, str] = field(default_factory=dict)
 
     def write(self, name: str, df: DataFrame, batch_id: int) -> None:
         df = conform(df, self.schemas[name])
         if name in self.new_only:
             earlier = self._stored(df.sparkSession, name).filter(F.col("batch_id") < batch_id)
-            df = only_new(df, earlier.drop("batch_id"), ignore=self.new_only[name])
+            df = only_new(
+                df,
+                earlier.drop("batch_id"),
+                ignore=self.new_only[name],
+                prune_on=self.prune_on.get(name),
+            )
         df.write.mode("overwrite").parquet(f"{self.root}/{name}/batch_id={batch_id}")
 
     def read(self, spark: SparkSession, name: str) -> DataFrame:
@@ -76,7 +83,8 @@ def ingest(
     ``read_many``, next to the inputs of ``static``, which is called for every
     batch so that changed side tables are seen. ``max_files`` bounds a batch.
     """
-    reader = spark.readStream.schema(schema).format(fmt).options(**(options or {}))
+    reader = spark.readStream.schema(schema).format(fmt).option("mode", "FAILFAST")
+    reader = reader.options(**(options or {}))
     reader = reader.option("pathGlobFilter", glob).option("recursiveFileLookup", True)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)

@@ -84,7 +84,8 @@ def count_and_name(t):
 def filtered_games_reviews(t):
     games = dedupe_first(inputs.games(t), ["game_id"], ["release_year"], scope="global")
     released = games.filter(F.col("release_year") == 2001).select("game_id")
-    rows = inputs.game_reviews(t).join(released, "game_id")
+    # Ids are unique after deduplication, so the join only restricts.
+    rows = restrict_to(inputs.game_reviews(t), released, "game_id")
     return rows.select("game_id", "sentiment_analysis", "year")
 
 

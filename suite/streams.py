@@ -8,7 +8,7 @@ from placemill import plans, streaming
 from placemill import schemas as S
 from placemill.runtime import scratch_path
 from suite import inputs
-from suite.pipelines import MAPS_REVIEWS_RESULT, YELP_REVIEWS_RESULT
+from suite.tables import MAPS_REVIEWS_RESULT, YELP_REVIEWS_RESULT
 from suite.registry import query
 
 

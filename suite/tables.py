@@ -1,4 +1,4 @@
-"""Whole pipelines from raw inputs to output tables."""
+"""Output tables built from raw inputs, end to end."""
 
 from __future__ import annotations
 

@@ -57,9 +57,13 @@ def test_each_file_is_taken_once(spark, tmp_path):
     assert sink.read(spark, "reviews").schema == S.REVIEWS
 
 
-def test_known_rows_are_left_out(spark, tmp_path):
+@pytest.mark.parametrize("prune", [False, True])
+def test_known_rows_are_left_out(spark, tmp_path, prune):
     sink = streaming.BatchFolders(
-        str(tmp_path / "out"), S.OUTPUT_TABLES, new_only={"reviews": ("text",)}
+        str(tmp_path / "out"),
+        S.OUTPUT_TABLES,
+        new_only={"reviews": ("text",)},
+        prune_on={"reviews": "date"} if prune else {},
     )
     put(tmp_path / "in" / "1.json", [review(1), review(2)])
     run(spark, tmp_path / "in", sink, tmp_path / "cp")
