@@ -365,7 +365,7 @@ GAME_REVIEWS_SQL = """game_reviews AS (
   SELECT CASE WHEN l_linenumber = 7 THEN -l_suppkey - 1 ELSE l_partkey END AS game_id,
     l_returnflag <> 'R' AS recommend,
     CASE WHEN l_linestatus = 'F' THEN 0 WHEN l_returnflag = 'A' THEN 1 ELSE 2 END AS sentiment,
-    year(l_shipdate) AS year FROM lineitem)"""
+    year(l_shipdate)::INTEGER AS year FROM lineitem)"""
 
 
 def user_genre(t: Tables) -> DataFrame:
