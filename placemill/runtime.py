@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
@@ -48,12 +48,11 @@ def broadcast_if_small(
 ) -> DataFrame:
     """``df`` with a broadcast hint if its measured size is within the bounds.
 
-    The check reads at most ``max_rows + 1`` rows. A larger side comes back
-    unhinted and is joined by shuffle, where adaptive execution splits skewed
-    partitions.
+    The check takes the widths of at most ``max_rows + 1`` rows, one number each.
+    A larger side comes back unhinted and is joined by shuffle, where adaptive
+    execution splits skewed partitions.
     """
     width = F.length(F.to_json(F.struct(*df.columns)))
-    rows, size = (
-        df.limit(max_rows + 1).agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
-    )
-    return F.broadcast(df) if rows <= max_rows and size <= max_bytes else df
+    widths = df.select(width).take(max_rows + 1)
+    small = len(widths) <= max_rows and sum(row[0] or 0 for row in widths) <= max_bytes
+    return F.broadcast(df) if small else df

@@ -172,7 +172,7 @@ def parse_addresses_containing(t):
 
 @query("x6_millis_to_timestamp", "SELECT event_id, make_timestamp(epoch_us(ts) // 1000 * 1000) AS date FROM events")
 def millis_to_timestamp(t):
-    time = F.unix_millis(F.col("ts").cast("timestamp"))
+    time = inputs.millis(F.col("ts"))
     return t.events.select("event_id", from_millis(time).alias("date"))
 
 

@@ -147,11 +147,15 @@ BUSINESS_FROM_KEPT = """SELECT gmap_id AS business_id, name, city, state, latitu
 # ---- Maps reviews: one per event ------------------------------------------------
 
 
+def millis(col):
+    """Epoch milliseconds of a zone-less timestamp."""
+    return F.timestamp_diff("MILLISECOND", F.lit("1970-01-01").cast("timestamp_ntz"), col)
+
+
 def maps_reviews(t: Tables) -> DataFrame:
     """Event times are moved back by up to 49 years, so that years fall out."""
-    time = F.unix_millis(F.col("ts").cast("timestamp")) - F.round(
-        F.col("value") * 100
-    ).cast("long") * 31_000_000
+    moved = F.round(F.col("value") * 100).cast("long") * 31_000_000
+    time = millis(F.col("ts")) - moved
     reply = F.when(
         F.col("event_type") == "purchase",
         F.struct((time + 60_000).alias("time"), F.col("props").alias("text")),
