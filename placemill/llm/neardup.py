@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from placemill.llm import words as W
 from placemill.llm.components import components
-from placemill.llm.shared import shuffle_partitions, stored
+from placemill.llm.shared import id_filter, shuffle_partitions, stored
 from placemill.operators.spread import spread_join
 from placemill.runtime import broadcast_if_small
 
@@ -141,7 +141,8 @@ def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) ->
     members = members.select("a", chunk.alias("chunk"), F.col("b").alias("doc"))
     leaders = members.select("a", "chunk").distinct().select("a", "chunk", F.col("a").alias("doc"))
     wanted = stored(members.unionAll(leaders), "pairs")
-    text = docs.join(broadcast_if_small(wanted), "doc").select(
+    needed = docs.join(id_filter(wanted.select("doc"), "ids"), "doc", "left_semi")
+    text = needed.join(broadcast_if_small(wanted), "doc").select(
         "a", "chunk", F.col("doc") != F.col("a"), "doc", "text"
     )
     text = text.toDF("a", "chunk", "member", "doc", "text")

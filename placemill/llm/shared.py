@@ -18,6 +18,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Ids, 8 bytes each, that are sent to all tasks; more are joined by shuffle.
+BROADCAST_IDS = 1_000_000
+
+
+def id_filter(ids: DataFrame, name: str) -> DataFrame:
+    """The distinct ids of a one-column table, to be broadcast if their count allows it."""
+    ids = stored(ids.distinct(), name)
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
