@@ -13,7 +13,7 @@
 5. Components by large-star and small-star.
 
 A bucket is never gathered: leaders come from grouped minima, comparisons are grouped
-by leader in chunks of ``CHUNK`` documents, the rest in blocks of ``BLOCK``.
+by leader in chunks of ``CHUNK`` documents, the rest in ``BLOCK`` by ``PART``.
 """
 
 from __future__ import annotations
@@ -34,6 +34,7 @@ from placemill.runtime import broadcast_if_small
 
 CHUNK = 64
 BLOCK = 256
+PART = 1024
 
 
 def multipliers(count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -171,42 +172,59 @@ def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) ->
     return grouped.mapInArrow(run, "a long, b long").distinct()
 
 
-def _rest_pairs(buckets: DataFrame, sketch: DataFrame, least_equal: int) -> DataFrame:
+def _rest_pairs(
+    labelled: DataFrame, sketch: DataFrame, bands: int, least_equal: int
+) -> DataFrame:
     """Pairs from different components of a bucket whose signatures agree often enough.
 
-    ``buckets`` (key, doc, component, blocks): a bucket is cut into blocks of documents,
-    and each pair of blocks is one group.
+    ``labelled`` (key, band, doc, component). In a bucket with several components, the
+    documents outside its largest one are compared with all: ``BLOCK`` of them and
+    ``PART`` of all are one group, so the rows of a bucket travel once while few of them
+    are outside. A pair counts in the first band that it shares.
     """
-    block = F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int")
-    rows = buckets.select("key", "doc", "component", "blocks", block.alias("block"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1))
-    rows = rows.withColumn("other", other).select(
+    sizes = labelled.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+    mixed = sizes.groupBy("key").agg(
+        F.sum("n").alias("total"),
+        F.max(F.struct("n", F.col("component").alias("main"))).alias("top"),
+    )
+    mixed = mixed.where(F.col("total") > F.col("top.n")).select(
         "key",
-        F.least("block", "other").alias("low"),
-        F.greatest("block", "other").alias("high"),
-        (F.col("block") > F.col("other")).alias("upper"),
-        "doc",
-        "component",
+        F.col("top.main").alias("main"),
+        F.ceil((F.col("total") - F.col("top.n")) / BLOCK).cast("int").alias("blocks"),
+        F.ceil(F.col("total") / PART).cast("int").alias("parts"),
     )
-    rows = rows.join(sketch.select("doc", "signature"), "doc")
+    rows = labelled.join(broadcast_if_small(stored(mixed, "mixed")), "key")
+    outside = F.col("component") != F.col("main")
+    code = F.xxhash64("doc")
+    block = F.pmod(code, F.col("blocks")).cast("int").alias("block")
+    part = F.pmod(code, F.col("parts")).cast("int").alias("part")
+    kept = ["key", "band", "doc", "component", outside.alias("outside")]
+    all_parts = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+    all_blocks = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
+    few = rows.where(outside).select(*kept, block, all_parts, F.lit(True).alias("few"))
+    many = rows.select(*kept, all_blocks, part, F.lit(False).alias("few"))
+    grouped = few.unionByName(many).join(sketch.select("doc", "signature"), "doc")
 
     def run(table):
+        few = table.column("few").to_numpy()
         docs = table.column("doc").to_numpy()
         group = table.column("component").to_numpy()
+        outside = table.column("outside").to_numpy()
+        band = table.column("band")[0].as_py()
         raw = b"".join(table.column("signature").to_pylist())
         marks = np.frombuffer(raw, np.uint16).reshape(len(docs), -1)
-        upper = table.column("upper").to_numpy()
-        same = table.column("low")[0] == table.column("high")[0]
-        hits = []
-        for at in range(len(docs)):
-            if same or not upper[at]:
-                near = (marks == marks[at]).sum(axis=1) >= least_equal
-                near &= (group != group[at]) & ((docs > docs[at]) if same else upper)
-                hits += [(int(docs[at]), int(b)) for b in docs[near]]
-        hits = [(min(x), max(x)) for x in hits]
+        others = np.flatnonzero(~few)
+        hits: list[tuple[int, int]] = []
+        for at in np.flatnonzero(few).tolist():
+            near = (marks[others] == marks[at]).sum(axis=1) >= least_equal
+            near &= (group[others] != group[at]) & (~outside[others] | (docs[others] > docs[at]))
+            for b in others[near].tolist():
+                alike = (marks[b] == marks[at]).reshape(bands, -1).all(axis=1)
+                if int(alike.argmax()) == band:
+                    hits.append((min(docs[at], docs[b]), max(docs[at], docs[b])))
         return pa.table({n: pa.array([x[k] for x in hits], pa.int64()) for k, n in enumerate("ab")})
 
-    return rows.groupBy("key", "low", "high").applyInArrow(run, "a long, b long").distinct()
+    return grouped.groupBy("key", "block", "part").applyInArrow(run, "a long, b long").distinct()
 
 
 def near_duplicates(
@@ -241,7 +259,7 @@ def near_duplicates(
     copies = stored(copies.select(F.col("doc").alias("u"), F.col("a").alias("v")), "copies")
 
     leaders_only = classes.select(F.col("a").alias("doc"))
-    keyed = full.join(leaders_only, "doc", "left_semi").select("doc", F.explode("keys").alias("key"))
+    keyed = full.join(leaders_only, "doc", "left_semi").select("doc", F.posexplode("keys").alias("band", "key"))
     buckets = keyed.groupBy("key").agg(F.min("doc").alias("a"), F.max("doc").alias("z"))
     buckets = buckets.where("a < z").select("key", "a")
     shared = stored(spread_join(keyed, buckets, ["key"], "inner"), "buckets")
@@ -268,20 +286,11 @@ def near_duplicates(
     labelled = shared.where("a < doc").join(
         broadcast_if_small(found.select(F.col("node").alias("doc"), "component")), "doc", "left"
     )
-    labelled = labelled.withColumn("component", F.coalesce("component", "doc"))
-    mixed = labelled.groupBy("key").agg(
-        F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"),
-        F.min("component").alias("x"),
-        F.max("component").alias("y"),
-    )
-    mixed = stored(mixed.where("x < y").select("key", "blocks"), "mixed")
-    labelled = labelled.join(broadcast_if_small(mixed), "key").select(
-        "key", "doc", "component", "blocks"
-    )
+    labelled = labelled.select("key", "band", "doc", F.coalesce("component", "doc").alias("component"))
     share = percent / 100
     count = bands * rows
-    least_equal = int(count * share - 5 * (count * share * (1 - share)) ** 0.5)
-    rest = stored(_rest_pairs(labelled, full, least_equal), "rest")
+    least_equal = int(count * share - 4 * (count * share * (1 - share)) ** 0.5)
+    rest = stored(_rest_pairs(stored(labelled, "labelled"), full, bands, least_equal), "rest")
     if not rest.isEmpty():
         more = stored(confirmed(rest, source, shingle, percent), "links")
         if not more.isEmpty():
