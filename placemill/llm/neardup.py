@@ -33,8 +33,8 @@ from placemill.operators.spread import spread_join
 from placemill.runtime import broadcast_if_small
 
 CHUNK = 64
-BLOCK = 256
-PART = 1024
+BLOCK = 4096
+PART = 4096
 
 
 def multipliers(count: int) -> tuple[np.ndarray, np.ndarray]:
