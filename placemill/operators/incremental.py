@@ -8,15 +8,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from placemill.operators.spread import spread_join
+from placemill.runtime import is_small
 
 
 def restrict_to(df: DataFrame, keys_df: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose key occurs in ``keys_df``; null matches nothing.
 
     Keys are made distinct before they move, so copies of one key cost nothing.
+    A key set within the broadcast bound leaves ``df`` where it lies.
     """
     on = [on] if isinstance(on, str) else list(on)
-    return spread_join(df, keys_df.select(*on).distinct(), on, "left_semi")
+    keys = keys_df.select(*on).distinct()
+    if is_small(keys):
+        return df.join(F.broadcast(keys), on, "left_semi")
+    return spread_join(df, keys, on, "left_semi")
 
 
 def only_new(
@@ -30,7 +35,9 @@ def only_new(
 
     Null equals nothing, so a row with a null key is always new. Duplicates
     inside the batch stay. ``prune_on`` names a column whose range in the batch
-    (one small query) limits the part of the target that is scanned.
+    (one small query) limits the part of the target that is scanned. Of the target,
+    only rows with a key of the batch move, while the batch is within the broadcast
+    bound.
     """
     keys = [name for name in batch.columns if name not in ignore]
     known = target.select(*keys)
@@ -40,4 +47,7 @@ def only_new(
         known = known.filter(
             F.col(prune_on).between(F.lit(low).cast(kind), F.lit(high).cast(kind))
         )
+    wanted = batch.select(*keys).distinct()
+    if is_small(wanted):
+        known = known.join(F.broadcast(wanted), keys, "left_semi")
     return spread_join(batch, known.distinct(), keys, "left_anti")

@@ -14,7 +14,10 @@ from placemill.runtime import broadcast_if_small
 def attach_state(
     df: DataFrame, states: DataFrame, code_col: str, how: str = "left", out: str = "estado"
 ) -> DataFrame:
-    """Add the long state name ``out``, replacing an old one, for the code in ``code_col``."""
+    """Add the long state name ``out``, replacing an old one, for the code in ``code_col``.
+
+    A join as it stands: a code that occurs twice in ``states`` gives two rows.
+    """
     names = states.select(
         F.col("nombre_corto").alias(code_col), strip_ws("nombre_largo").alias(out)
     )
@@ -31,13 +34,14 @@ def parse_address(
 ) -> DataFrame:
     """Add ``city`` and ``state`` read from an address, replacing old ones.
 
-    ``mode="exact"`` looks the code fragment up as it is. ``mode="contains"``
+    ``mode="exact"`` looks the code fragment up as it is; of a code that occurs
+    again the smallest name counts, so no row is doubled. ``mode="contains"``
     takes the first state, in dimension order (``order_by``, or scan order),
     whose code contains the fragment. Without a state both are ``SIN DATO``.
     """
     if mode == "exact":
-        lookup = states.select(
-            F.col("nombre_corto").alias("_code"), strip_ws("nombre_largo").alias("_state")
+        lookup = states.groupBy(F.col("nombre_corto").alias("_code")).agg(
+            F.min(strip_ws("nombre_largo")).alias("_state")
         )
     elif mode == "contains":
         lookup = _states_by_fragment(states, order_by)

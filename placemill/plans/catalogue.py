@@ -43,9 +43,12 @@ def top_user(facts: DataFrame, genre: str | None = None) -> DataFrame:
     keys = ["genres", "user_id", "release_year"]
     total = F.coalesce(F.sum("playtime_forever"), F.lit(0)).alias("playtime_forever")
     sums = not_null(facts, *keys).groupBy(*keys).agg(total)
-    rank = F.struct(-F.col("playtime_forever"), "user_id", "release_year")
-    winners = sums.groupBy("genres").agg(F.min_by("user_id", rank).alias("user_id"))
-    return sums.join(winners, ["genres", "user_id"]).orderBy(
+    years = F.collect_list(F.struct("release_year", "playtime_forever")).alias("years")
+    best = F.min(F.struct((-F.col("playtime_forever")).alias("least"), "release_year")).alias("best")
+    users = sums.groupBy("genres", "user_id").agg(years, best)
+    rank = F.struct("best.least", "user_id", "best.release_year", "years")
+    winners = users.groupBy("genres").agg(F.min(rank).alias("winner"))
+    return winners.select("genres", "winner.user_id", F.inline("winner.years")).orderBy(
         "genres", F.desc("playtime_forever"), "release_year"
     )
 

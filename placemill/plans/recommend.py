@@ -45,14 +45,21 @@ def standardise(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def fit_clusters(
-    df: DataFrame, cols: Sequence[str], k: int = 5, seed: int = 42
+    df: DataFrame,
+    cols: Sequence[str],
+    k: int = 5,
+    seed: int = 42,
+    max_iterations: int = MAX_ITERATIONS,
 ) -> tuple[DataFrame, KMeansModel]:
-    """Rows with a vector column ``features``, and the k-means model fitted to it."""
+    """Rows with a vector column ``features``, and the k-means model fitted to it.
+
+    ``model.summary.numIter`` tells how many of ``max_iterations`` the fit took.
+    """
     if df.limit(k).count() < k:
         raise ValueError(f"fewer than {k} rows to cluster")
     points = VectorAssembler(inputCols=list(cols), outputCol="features").transform(df)
     estimator = KMeans(
-        k=k, seed=seed, maxIter=MAX_ITERATIONS, featuresCol="features", predictionCol="cluster"
+        k=k, seed=seed, maxIter=max_iterations, featuresCol="features", predictionCol="cluster"
     )
     return points, estimator.fit(points)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -22,7 +23,7 @@ def shared_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^]]*\])?", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="placemill-"))
         folder = context.getCheckpointDir()
@@ -52,7 +53,13 @@ def broadcast_if_small(
     A larger side comes back unhinted and is joined by shuffle, where adaptive
     execution splits skewed partitions.
     """
+    return F.broadcast(df) if is_small(df, max_rows=max_rows, max_bytes=max_bytes) else df
+
+
+def is_small(
+    df: DataFrame, *, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> bool:
+    """Whether ``df`` is measured to be within the bounds of a broadcast."""
     width = F.length(F.to_json(F.struct(*df.columns)))
     widths = df.select(width).take(max_rows + 1)
-    small = len(widths) <= max_rows and sum(row[0] or 0 for row in widths) <= max_bytes
-    return F.broadcast(df) if small else df
+    return len(widths) <= max_rows and sum(row[0] or 0 for row in widths) <= max_bytes

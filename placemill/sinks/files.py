@@ -8,28 +8,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SINGLE_FILE_ROWS = 1_000_000
-
-
-def write_csv(
-    df: DataFrame,
-    path: str,
-    *,
-    single_file: bool = False,
-    run_id: str | None = None,
-    max_single_rows: int = SINGLE_FILE_ROWS,
-) -> str:
+def write_csv(df: DataFrame, path: str, *, run_id: str | None = None) -> str:
     """CSV with a header, replacing what is at the target. Returns the target.
 
-    ``run_id`` stamps the folder, so runs stay side by side. Output is written
-    in parallel; ``single_file`` is for small tables and refuses larger ones,
-    as one task would have to write them.
+    One folder for a table, written in parallel, a file for each task. ``run_id``
+    stamps the folder, so runs stay side by side.
     """
     target = f"{path}/run={run_id}" if run_id else path
-    if single_file:
-        if df.limit(max_single_rows + 1).count() > max_single_rows:
-            raise ValueError(f"more than {max_single_rows} rows for one file: write in parallel")
-        df = df.coalesce(1)
     df.write.mode("overwrite").options(header=True, quote='"', escape='"').csv(target)
     return target
 

@@ -157,6 +157,14 @@ def test_strict_drop_and_duplicate_names(spark):
     assert values(op.dedupe_column_names(twice), "a", "b") == [(1, 2)]
 
 
+def test_a_repeated_code_doubles_no_address(spark):
+    states = spark.createDataFrame(
+        [("Texas", "TX"), ("Tejas", "TX")], "nombre_largo string, nombre_corto string"
+    )
+    places = spark.createDataFrame([("Shop, 1 Road, Austin, TX 78701",)], "address string")
+    assert values(op.parse_address(places, states), "city", "state") == [("Austin", "Tejas")]
+
+
 def test_only_new(spark):
     schema = "id string, stars int, text string"
     target = spark.createDataFrame([("a", 1, "old"), ("n", None, "old")] * 3, schema)

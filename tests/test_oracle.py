@@ -6,8 +6,9 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from compare import connect, spark_rows, sql_rows
+from suite import ORACLE, QUERIES
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 UNCHECKED = {"m2_cluster_sizes", "q7_recommended_locations"}
@@ -18,21 +19,21 @@ def con():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("key", sorted(queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query(spark, con, key):
-    df = queries()[key](spark, FOLDER)
+    df = QUERIES[key](spark, FOLDER)
     got = spark_rows(df)
     assert got, "no rows: the check would be empty"
     if key in UNCHECKED:
         return
-    want, names = sql_rows(con, oracle_sql()[key])
+    want, names = sql_rows(con, ORACLE[key])
     assert sorted(df.columns) == names
     assert len(got) == len(want)
     assert got == want
 
 
 def test_every_query_is_checked():
-    assert set(queries()) - set(oracle_sql()) == UNCHECKED
+    assert set(QUERIES) - set(ORACLE) == UNCHECKED
 
 
 def test_entry(spark):

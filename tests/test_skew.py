@@ -44,7 +44,13 @@ def payload(df):
     return df.withColumn("text", F.md5(F.col("v").cast("string")))
 
 
-def test_hot_key_of_a_semi_join_is_split(spark, skewed):
+@pytest.fixture
+def large_keys(monkeypatch):
+    """As if key sets and batches were beyond the broadcast bound."""
+    monkeypatch.setattr("placemill.operators.incremental.is_small", lambda df: False)
+
+
+def test_hot_key_of_a_semi_join_is_split(spark, skewed, large_keys):
     keys = spark.range(0, 100).select(F.col("id").alias("k"))
     keys = keys.unionByName(spark.range(0, 5000).select(F.lit(0).cast("long").alias("k")))
     kept = op.restrict_to(payload(skewed), keys, "k")
@@ -54,7 +60,7 @@ def test_hot_key_of_a_semi_join_is_split(spark, skewed):
     assert "skew=true" in final_plan(kept)
 
 
-def test_hot_copies_of_an_anti_join_are_split(spark, skewed):
+def test_hot_copies_of_an_anti_join_are_split(spark, skewed, large_keys):
     batch = payload(skewed).withColumn("v", F.when(F.col("k") > 0, F.col("v")).otherwise(3))
     same = F.col("id") % 1
     known = spark.range(0, 40_000, 1, 16).select(same.alias("k"), (same + 3).alias("v"))

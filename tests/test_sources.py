@@ -133,12 +133,11 @@ def test_append_creates_then_appends(spark, tmp_path):
         sinks.append_table(rows.drop("id"), "append_me", schema)
 
 
-def test_single_file_refuses_large_tables(spark, tmp_path):
-    rows = spark.range(11)
-    path = sinks.write_csv(rows.repartition(4), str(tmp_path / "one"), single_file=True)
-    assert len(list((tmp_path / "one").glob("part-*"))) == 1 and path
-    with pytest.raises(ValueError, match="write in parallel"):
-        sinks.write_csv(rows, str(tmp_path / "two"), single_file=True, max_single_rows=10)
+def test_csv_is_written_in_parallel_and_replaced(spark, tmp_path):
+    for rows in (40, 11):
+        path = sinks.write_csv(spark.range(rows).repartition(4), str(tmp_path / "out"))
+    assert len(list((tmp_path / "out").glob("part-*"))) == 4
+    assert spark.read.option("header", True).csv(path).count() == 11
 
 
 def test_runs_stay_side_by_side(spark, tmp_path):
