@@ -170,6 +170,8 @@ def minimizers(grams: np.ndarray, valid: np.ndarray, whole: np.ndarray, size: in
     with the same words have the same least gram.
     """
     least = sliding(np.where(valid, grams, MOST), size)
+    if not len(least):
+        return least, np.zeros(len(grams), bool)
     shown = np.where(whole, least, _LEAST)
     edge = np.zeros(size - 1, np.uint64)
     reach = sliding(np.concatenate([edge, shown, edge]), size, np.maximum)
