@@ -7,13 +7,14 @@
 3. In each band bucket the smallest id is the leader. A document is compared with its
    smallest leader first, then with leaders of its other buckets that the first links
    did not join. All links are confirmed on the full shingle sets.
-4. Buckets that still hold several components give the rest: pairs from different
-   components, block against block, if their signatures agree often enough, and again
-   confirmed on the full sets. So no link is lost because a leader did not fit.
+4. Buckets that still hold several components give the rest: documents of different
+   components, block against block, are compared on their full sets if their signatures
+   agree often enough. So no link is lost because a leader did not fit.
 5. Components by large-star and small-star.
 
 A bucket is never gathered: leaders come from grouped minima, comparisons are grouped
-by leader in chunks of ``CHUNK`` documents, the rest in ``BLOCK`` by ``PART``.
+by leader in chunks of ``CHUNK`` documents, the rest in ``BLOCK`` by ``PART`` or by
+``VOLUME`` shingles. No pairs of the rest are written, only links that join components.
 """
 
 from __future__ import annotations
@@ -35,6 +36,7 @@ from placemill.runtime import broadcast_if_small
 CHUNK = 64
 BLOCK = 4096
 PART = 4096
+VOLUME = 2_000_000
 
 
 def multipliers(count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -172,26 +174,33 @@ def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) ->
     return grouped.mapInArrow(run, "a long, b long").distinct()
 
 
-def _rest_pairs(
-    labelled: DataFrame, sketch: DataFrame, bands: int, least_equal: int
-) -> DataFrame:
-    """Pairs from different components of a bucket whose signatures agree often enough.
+def _dealt(labelled: DataFrame) -> DataFrame:
+    """Rows of ``labelled`` (key, band, doc, component, n_shingles) dealt to the groups
+    (key, block, part) in which documents of different components meet.
 
-    ``labelled`` (key, band, doc, component). In a bucket with several components, the
-    documents outside its largest one are compared with all: ``BLOCK`` of them and
-    ``PART`` of all are one group, so the rows of a bucket travel once while few of them
-    are outside. A pair counts in the first band that it shares.
+    In a bucket with several components, the documents outside its largest one are
+    compared with all: a block of them (few) and a part of all are one group, so the rows
+    of a bucket travel once while few of them are outside. A group holds ``BLOCK`` and
+    ``PART`` documents or ``VOLUME`` shingles of each kind, whichever is less.
     """
-    sizes = labelled.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+    sizes = labelled.groupBy("key", "component").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("volume")
+    )
     mixed = sizes.groupBy("key").agg(
         F.sum("n").alias("total"),
-        F.max(F.struct("n", F.col("component").alias("main"))).alias("top"),
+        F.sum("volume").alias("all"),
+        F.max(F.struct("n", "volume", F.col("component").alias("main"))).alias("top"),
     )
-    mixed = mixed.where(F.col("total") > F.col("top.n")).select(
+
+    def groups(documents, most, volume):
+        return F.ceil(F.greatest(documents / most, volume / VOLUME)).cast("int")
+
+    n_outside, v_outside = F.col("total") - F.col("top.n"), F.col("all") - F.col("top.volume")
+    mixed = mixed.where(n_outside > 0).select(
         "key",
         F.col("top.main").alias("main"),
-        F.ceil((F.col("total") - F.col("top.n")) / BLOCK).cast("int").alias("blocks"),
-        F.ceil(F.col("total") / PART).cast("int").alias("parts"),
+        groups(n_outside, BLOCK, v_outside).alias("blocks"),
+        groups(F.col("total"), PART, F.col("all")).alias("parts"),
     )
     rows = labelled.join(broadcast_if_small(stored(mixed, "mixed")), "key")
     outside = F.col("component") != F.col("main")
@@ -203,28 +212,87 @@ def _rest_pairs(
     all_blocks = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
     few = rows.where(outside).select(*kept, block, all_parts, F.lit(True).alias("few"))
     many = rows.select(*kept, all_blocks, part, F.lit(False).alias("few"))
-    grouped = few.unionByName(many).join(sketch.select("doc", "signature"), "doc")
+    return few.unionByName(many)
+
+
+def _near_rows(table: pa.Table, label: np.ndarray, bands: int, least_equal: int) -> Iterator[tuple]:
+    """(row, rows) of a group: one of the few, and others of another ``label`` whose
+    signatures agree often enough and that share this band as their first one."""
+    few, docs, outside = (table.column(name).to_numpy() for name in ("few", "doc", "outside"))
+    band = table.column("band")[0].as_py()
+    raw = b"".join(table.column("signature").to_pylist())
+    marks = np.frombuffer(raw, np.uint16).reshape(len(docs), -1)
+    others = np.flatnonzero(~few)
+    for at in np.flatnonzero(few).tolist():
+        near = (label[others] != label[at]) & (~outside[others] | (docs[others] > docs[at]))
+        near = others[near]
+        same = marks[near] == marks[at]
+        often = same.sum(axis=1) >= least_equal
+        alike = same[often].reshape(-1, bands, same.shape[1] // bands).all(axis=2)
+        near = near[often][alike.argmax(axis=1) == band]
+        if len(near):
+            yield at, near
+
+
+def _rest_links(
+    labelled: DataFrame,
+    sketch: DataFrame,
+    docs: DataFrame,
+    *,
+    shingle: int,
+    percent: int,
+    bands: int,
+    least_equal: int,
+) -> DataFrame:
+    """Links (a, b) that join all documents of different components that are alike enough.
 
-    def run(table):
-        few = table.column("few").to_numpy()
+    Signatures find the documents of a group that have a partner there. Only their texts
+    travel to the group; their full sets are compared in it. A group gives the links that
+    join components not yet joined there, so it never has more links than documents.
+    """
+    grouped = _dealt(labelled).join(sketch.select("doc", "signature"), "doc")
+    names = ["key", "block", "part", "band", "doc", "component", "outside", "few", "signature"]
+
+    def marked(table):
+        label = table.column("component").to_numpy()
+        wanted = np.zeros(len(table), bool)
+        for at, near in _near_rows(table, label, bands, least_equal):
+            wanted[at] = True
+            wanted[near] = True
+        return table.select(names).filter(pa.array(wanted))
+
+    schema = "key long, block int, part int, band int, doc long, component long, "
+    schema += "outside boolean, few boolean, signature binary"
+    met = stored(grouped.groupBy("key", "block", "part").applyInArrow(marked, schema), "met")
+    needed = docs.join(id_filter(met.select("doc"), "ids"), "doc", "left_semi")
+    texts = needed.join(broadcast_if_small(met), "doc")
+
+    def linked(table):
+        label = table.column("component").to_numpy().copy()
         docs = table.column("doc").to_numpy()
-        group = table.column("component").to_numpy()
-        outside = table.column("outside").to_numpy()
-        band = table.column("band")[0].as_py()
-        raw = b"".join(table.column("signature").to_pylist())
-        marks = np.frombuffer(raw, np.uint16).reshape(len(docs), -1)
-        others = np.flatnonzero(~few)
+        texts = table.column("text").combine_chunks()
+        sets = []
+        for begin, end in W.pieces(texts):
+            found = W.words_of(texts.slice(begin, end - begin), lower=True)
+            sets += distinct_sets(*shingle_codes(found, shingle))
+        sizes = np.array([len(one) for one in sets])
+        codes, flat = np.unique(np.concatenate(sets), return_inverse=True)
+        sets = np.split(flat, np.cumsum(sizes)[:-1])
+        inside = np.zeros(len(codes), np.int64)
         hits: list[tuple[int, int]] = []
-        for at in np.flatnonzero(few).tolist():
-            near = (marks[others] == marks[at]).sum(axis=1) >= least_equal
-            near &= (group[others] != group[at]) & (~outside[others] | (docs[others] > docs[at]))
-            for b in others[near].tolist():
-                alike = (marks[b] == marks[at]).reshape(bands, -1).all(axis=1)
-                if int(alike.argmax()) == band:
+        for at, near in _near_rows(table, label, bands, least_equal):
+            inside[sets[at]] = 1
+            cuts = np.r_[0, np.cumsum(sizes[near])[:-1]]
+            both = np.add.reduceat(inside[np.concatenate([sets[b] for b in near.tolist()])], cuts)
+            inside[sets[at]] = 0
+            enough = 100 * both >= percent * (sizes[at] + sizes[near] - both)
+            for b in near[enough].tolist():
+                if label[b] != label[at]:
                     hits.append((min(docs[at], docs[b]), max(docs[at], docs[b])))
+                    label[label == label[b]] = label[at]
         return pa.table({n: pa.array([x[k] for x in hits], pa.int64()) for k, n in enumerate("ab")})
 
-    return grouped.groupBy("key", "block", "part").applyInArrow(run, "a long, b long").distinct()
+    return texts.groupBy("key", "block", "part").applyInArrow(linked, "a long, b long").distinct()
 
 
 def near_duplicates(
@@ -259,7 +327,8 @@ def near_duplicates(
     copies = stored(copies.select(F.col("doc").alias("u"), F.col("a").alias("v")), "copies")
 
     leaders_only = classes.select(F.col("a").alias("doc"))
-    keyed = full.join(leaders_only, "doc", "left_semi").select("doc", F.posexplode("keys").alias("band", "key"))
+    keyed = full.join(leaders_only, "doc", "left_semi")
+    keyed = keyed.select("doc", "n_shingles", F.posexplode("keys").alias("band", "key"))
     buckets = keyed.groupBy("key").agg(F.min("doc").alias("a"), F.max("doc").alias("z"))
     buckets = buckets.where("a < z").select("key", "a")
     shared = stored(spread_join(keyed, buckets, ["key"], "inner"), "buckets")
@@ -286,15 +355,18 @@ def near_duplicates(
     labelled = shared.where("a < doc").join(
         broadcast_if_small(found.select(F.col("node").alias("doc"), "component")), "doc", "left"
     )
-    labelled = labelled.select("key", "band", "doc", F.coalesce("component", "doc").alias("component"))
+    labelled = labelled.select(
+        "key", "band", "doc", "n_shingles", F.coalesce("component", "doc").alias("component")
+    )
     share = percent / 100
     count = bands * rows
     least_equal = int(count * share - 4 * (count * share * (1 - share)) ** 0.5)
-    rest = stored(_rest_pairs(stored(labelled, "labelled"), full, bands, least_equal), "rest")
-    if not rest.isEmpty():
-        more = stored(confirmed(rest, source, shingle, percent), "links")
-        if not more.isEmpty():
-            found = stored(components(links.unionAll(more).toDF("v", "u")), "components")
+    labelled = stored(labelled, "labelled")
+    checks = {"shingle": shingle, "percent": percent, "bands": bands, "least_equal": least_equal}
+    more = _rest_links(labelled, full, source, **checks)
+    more = stored(more, "links")
+    if not more.isEmpty():
+        found = stored(components(links.unionAll(more).toDF("v", "u")), "components")
 
     top = found.select(F.col("node").alias("v"), "component")
     joined = copies.join(broadcast_if_small(top), "v", "left")
