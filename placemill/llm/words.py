@@ -49,15 +49,30 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def powers(count: int, known: dict = {}) -> tuple[np.ndarray, np.ndarray]:  # noqa: B006
-    """Powers of the base and of its inverse, kept for the next call."""
-    if "up" not in known or len(known["up"]) < count:
-        size = max(count, CHUNK_BYTES + 1)
-        up, down = np.ones(size, np.uint64), np.ones(size, np.uint64)
-        up[1:] = np.uint64(_BASE)
-        down[1:] = np.uint64(pow(_BASE, -1, 1 << 64))
-        known["up"], known["down"] = np.multiply.accumulate(up), np.multiply.accumulate(down)
-    return known["up"], known["down"]
+class _Powers:
+    """Powers of the base and of its inverse, kept for the next call.
+
+    They are made anew where they are needed: a function that is sent to the workers
+    takes none of the numbers with it.
+    """
+
+    def __init__(self):
+        self.up = self.down = np.ones(0, np.uint64)
+
+    def __reduce__(self):
+        return _Powers, ()
+
+    def first(self, count: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) < count:
+            size = max(count, CHUNK_BYTES + 1)
+            up, down = np.ones(size, np.uint64), np.ones(size, np.uint64)
+            up[1:] = np.uint64(_BASE)
+            down[1:] = np.uint64(pow(_BASE, -1, 1 << 64))
+            self.up, self.down = np.multiply.accumulate(up), np.multiply.accumulate(down)
+        return self.up, self.down
+
+
+_POWERS = _Powers()
 
 
 def pieces(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
@@ -117,7 +132,7 @@ def spans(
 
 def codes_of(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A code for the bytes of every span."""
-    up, down = powers(len(data) + 1)
+    up, down = _POWERS.first(len(data) + 1)
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=total[1:])
     sums = (total[ends] - total[starts]) * down[starts]

@@ -12,11 +12,21 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from compare import connect, spark_rows, sql_rows
-from placemill.llm import decontaminate, langid, licenses, ordermin, packing, quality, sharding
+from placemill.llm import (
+    decontaminate,
+    langid,
+    licenses,
+    ordermin,
+    packing,
+    quality,
+    sharding,
+    words,
+)
 from placemill.llm.components import components
 from placemill.llm.license_texts import NOTICES
 from placemill.llm.neardup import near_duplicates
@@ -348,3 +358,11 @@ def test_pipeline(spark):
     assert held == "decontaminate" and 0.5 * 200 < len(before) < 200
     packed = corpus_pipeline.run(spark, FOLDER)
     assert {r.doc_id for r in packed.select("doc_id").collect()} == before
+
+
+def test_functions_sent_to_workers_stay_small():
+    texts = pa.array(["one two", None])
+    codes = words.words_of(texts).codes
+    sent = cloudpickle.dumps(lambda column: words.words_of(column).codes)
+    assert len(sent) < 100_000
+    assert (cloudpickle.loads(sent)(texts) == codes).all()
