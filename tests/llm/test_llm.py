@@ -142,6 +142,23 @@ def test_near_duplicates(spark):
     assert near_duplicates(table(spark, [])).count() == 0
 
 
+def test_near_duplicates_whose_leaders_fit_none(spark):
+    """The smallest ids are far from all others, so that only the rest finds the links."""
+    draw = random.Random(8)
+    base = [f"w{draw.randrange(400)}" for _ in range(120)]
+    rows = []
+    for key in range(70):
+        words_of_row = list(base)
+        for at in draw.sample(range(120), 6 if key < 30 else key % 4):
+            words_of_row[at] = f"n{draw.randrange(9999)}"
+        rows.append((key, " ".join(words_of_row)))
+    done = near_duplicates(table(spark, rows), shingle=4).collect()
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in done}
+    want = groups_by_hand(rows, 4)
+    assert got == want
+    assert max(Counter(top for _, top, _ in want.values()).values()) > 30
+
+
 def test_components_of_a_chain_and_a_hub(spark):
     chain = [(at, at + 1) for at in range(40)]
     hub = [(100, 101 + at) for at in range(50)]
