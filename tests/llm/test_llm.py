@@ -345,6 +345,47 @@ def test_leaks(spark):
     assert decontaminate.find_leaks(df, benchmark.limit(0)).count() == 0
 
 
+def leaks_by_hand(texts, items, answers):
+    """(text, item) for every stretch of a text that holds enough of an item, in order."""
+    out, limits = set(), decontaminate.Limits()
+    for key, text in texts.items():
+        present = set(text)
+        for one, item in items.items():
+            if sum(word in present for word in item) < limits.covered_with_answer * len(item):
+                continue
+            size = len(item) + len(item) // 4 + 4
+            for at in range(max(1, len(text) - size + 1)):
+                stretch = np.array(text[at : at + size])
+                covered = decontaminate.common_subsequence(np.array(item), stretch) / len(item)
+                if covered < limits.covered_with_answer:
+                    continue
+                own = answers[one]
+                answered = decontaminate.common_subsequence(np.array(own), stretch) / len(own)
+                if covered >= limits.covered or answered >= limits.answer:
+                    out.add((key, one))
+                    break
+    return out
+
+
+def test_leaks_of_more_items_than_dimensions(spark):
+    """Every copy and paraphrase of 1,200 items, in short and long texts, as by brute force."""
+    draw = random.Random(4)
+    items, texts = {}, {}
+    for one in range(1200):
+        items[one] = [f"v{draw.randrange(4000)}" for _ in range(draw.randrange(12, 60))]
+    for one in range(0, 1200, 3):
+        kept = [w if draw.random() > one % 4 * 0.08 else f"n{draw.randrange(10**6)}" for w in items[one]]
+        around = [f"v{draw.randrange(4000)}" for _ in range(draw.randrange(200))]
+        cut = draw.randrange(len(around) + 1)
+        texts[one] = around[:cut] + kept + around[cut:]
+    docs = table(spark, [(key, " ".join(text)) for key, text in texts.items()], extra=False)
+    rows = [(one, " ".join(item[:-5]) + ". " + " ".join(item[-5:])) for one, item in items.items()]
+    benchmark = spark.createDataFrame(rows, "item_id long, text string")
+    want = leaks_by_hand(texts, items, {one: item[-5:] for one, item in items.items()})
+    got = {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(docs, benchmark).collect()}
+    assert len(want) >= 380 and got == want
+
+
 def test_common_subsequence():
     draw = random.Random(2)
     for _ in range(30):
