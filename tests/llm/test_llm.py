@@ -386,6 +386,24 @@ def test_leaks_of_more_items_than_dimensions(spark):
     assert len(want) >= 380 and got == want
 
 
+def test_leaks_of_common_words_in_a_large_corpus(spark):
+    """Short items of words that keep their frequency, between words found nowhere else."""
+    draw = random.Random(6)
+    items = {one: [f"c{draw.randrange(200)}" for _ in range(15)] for one in range(40)}
+    texts = {}
+    for one, item in items.items():
+        around = [f"n{one}x{at}" for at in range(300)]
+        texts[one] = " ".join(around[:150] + item + around[150:])
+    word = F.concat(F.lit("c"), F.pmod(F.xxhash64("id", "at"), F.lit(200)))
+    filler = spark.range(1000, 21_000).withColumn("at", F.explode(F.sequence(F.lit(1), F.lit(20))))
+    filler = filler.groupBy("id").agg(F.concat_ws(" ", F.collect_list(word)).alias("text"))
+    docs = table(spark, list(texts.items()), extra=False).unionAll(filler)
+    rows = [(one, " ".join(item)) for one, item in items.items()]
+    benchmark = spark.createDataFrame(rows, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(docs, benchmark).collect()}
+    assert got >= {(one, one) for one in items}
+
+
 def test_common_subsequence():
     draw = random.Random(2)
     for _ in range(30):
