@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -35,18 +36,35 @@ class TemplateIndex:
     prints: np.ndarray
     template: np.ndarray
     position: np.ndarray
+    sizes: list[int]
 
 
-def build_index(templates: Mapping[str, str]) -> TemplateIndex:
-    """The index of the templates; its size is that of the templates, not of the data."""
+def sure_run(count: int, least: float) -> int:
+    """Consecutive words that stay of ``count`` when as many are changed as ``least`` allows."""
+    changed = int(count * (1 - least) + 1e-9)
+    return -(-(count - changed) // (changed + 1))
+
+
+def build_index(templates: Mapping[str, str], least: float = 0.8) -> TemplateIndex:
+    """The index of the templates; its size is that of the templates, not of the data.
+
+    A template is winnowed if a run of words as long as winnowing needs always stays at the
+    coverage ``least``. Of others all grams are kept, no longer than the run that stays.
+    """
     names = sorted(templates)
     column = pa.array([templates[name] for name in names], pa.string())
     found = W.words_of(column, lower=True, inside_of=W.letter_or_digit)
     codes = [found.codes[a:b] for a, b in zip(found.first[:-1], found.first[1:], strict=True)]
-    rows = []
+    rows, sizes = [], set()
     for at, own in enumerate(codes):
-        grams = W.runs(own, min(GRAM, max(1, len(own))))
-        rows += [(int(grams[p]), at, int(p)) for p in winnowed(grams) if len(own) >= GRAM]
+        if len(own) < GRAM:
+            continue
+        stays = sure_run(len(own), least)
+        size = max(1, min(GRAM, stays))
+        grams = W.runs(own, size)
+        chosen = winnowed(grams) if stays >= GRAM + WINDOW - 1 else range(len(grams))
+        rows += [(int(grams[p]), at, int(p)) for p in chosen]
+        sizes.add(size)
     rows.sort()
     return TemplateIndex(
         names,
@@ -54,6 +72,7 @@ def build_index(templates: Mapping[str, str]) -> TemplateIndex:
         np.array([row[0] for row in rows], np.uint64),
         np.array([row[1] for row in rows], np.int64),
         np.array([row[2] for row in rows], np.int64),
+        sorted(sizes),
     )
 
 
@@ -93,18 +112,19 @@ def _clusters(places: np.ndarray, shifts: np.ndarray, reach: int):
 
 def scan_words(codes: np.ndarray, index: TemplateIndex, least: float) -> list[tuple]:
     """(template, coverage, matched, first word, last word) for one text."""
-    grams = W.runs(codes, GRAM)
-    if not len(grams) or not len(index.prints):
+    places, entries = [], []
+    for size in index.sizes:
+        grams = W.runs(codes, size)
+        begin = np.searchsorted(index.prints, grams, "left")
+        count = np.searchsorted(index.prints, grams, "right") - begin
+        at = np.flatnonzero(count)
+        place = np.repeat(at, count[at])
+        inner = np.arange(len(place)) - np.repeat(np.cumsum(count[at]) - count[at], count[at])
+        places.append(place)
+        entries.append(np.repeat(begin[at], count[at]) + inner)
+    if not sum(map(len, places)):
         return []
-    begin = np.searchsorted(index.prints, grams, "left")
-    count = np.searchsorted(index.prints, grams, "right") - begin
-    at = np.flatnonzero(count)
-    if not len(at):
-        return []
-    place = np.repeat(at, count[at])
-    inner = np.arange(len(place)) - np.repeat(np.cumsum(count[at]) - count[at], count[at])
-    entry = np.repeat(begin[at], count[at]) + inner
-    return _aligned(codes, index, place, entry, least)
+    return _aligned(codes, index, np.concatenate(places), np.concatenate(entries), least)
 
 
 def _aligned(codes, index, place, entry, least) -> list[tuple]:
@@ -114,19 +134,46 @@ def _aligned(codes, index, place, entry, least) -> list[tuple]:
         mine = np.flatnonzero(template == one)
         own = index.codes[one]
         band = max(2, len(own) // 8)
-        taken: set[tuple[int, int]] = set()
+        spans = []
         for cluster in _clusters(place[mine], shift[mine], band):
-            middle = int(np.median(shift[mine][cluster]))
-            low = max(0, middle - band)
-            near = codes[low : middle + len(own) + band]
-            matched, first, last = banded_alignment(own, near, middle - low, band)
-            spot = first + low, last + low
-            if matched >= least * len(own) and spot not in taken:
-                taken.add(spot)
-                found.append((one, matched / len(own), matched, *spot))
+            spans += _spans(codes, own, place[mine][cluster], shift[mine][cluster], band, least)
+        taken: list[tuple[int, int]] = []
+        for matched, first, last in sorted(set(spans), key=lambda s: (-s[0], s[2] - s[1], s[1])):
+            after = bisect(taken, (first, last))
+            if (not after or taken[after - 1][1] < first) and (
+                after == len(taken) or last < taken[after][0]
+            ):
+                taken.insert(after, (first, last))
+                found.append((one, matched / len(own), matched, first, last))
     return found
 
 
+def _spans(codes, own, place, shift, band: int, least: float) -> list[tuple]:
+    """(matched, first, last) at every shift of a chain that no better one explains."""
+    spans, tried = [], set()
+    order = np.argsort(shift, kind="stable")
+    place, shift = place[order], shift[order]
+    open_hits = np.ones(len(place), bool)
+    values, begin, hits = np.unique(shift, return_index=True, return_counts=True)
+    peaks = [(int(values[at]), int(begin[at]), int(hits[at])) for at in np.argsort(-hits, kind="stable")]
+    for peak, at, count in [(int(np.median(shift)), 0, len(shift)), *peaks]:
+        if not open_hits[at : at + count].any():
+            continue
+        within = np.searchsorted(shift, [peak - band, peak + band + 1])
+        near = int(np.median(shift[within[0] : within[1]])) if within[0] < within[1] else peak
+        for middle in {peak, near} - tried:
+            tried.add(middle)
+            low = max(0, middle - band)
+            words = codes[low : max(0, middle + len(own) + band)]
+            if np.isin(own, words).sum() < least * len(own):
+                continue
+            matched, first, last = banded_alignment(own, words, middle - low, band)
+            if matched >= least * len(own):
+                spans.append((matched, first + low, last + low))
+                open_hits &= (place < first + low) | (place > last + low)
+    return spans
+
+
 def scan_licenses(
     docs: DataFrame,
     templates: Mapping[str, str],
@@ -146,7 +193,7 @@ def scan_licenses(
     Null and empty texts and texts without a notice give no rows; equal rows each give
     their own. No shuffle: the index, as large as the templates, is sent to the tasks.
     """
-    index = build_index(templates)
+    index = build_index(templates, least)
     kind = docs.schema[id_column].dataType.simpleString()
     name = free_name(docs.select(id_column), "template")
 
@@ -162,11 +209,14 @@ def scan_licenses(
 
 
 def _scanned(ids, found: W.Words, index, least, id_column, name) -> pa.RecordBatch:
-    grams = W.runs(found.codes, GRAM)
     rows = []
-    if len(grams) and len(index.prints):
-        near = np.minimum(np.searchsorted(index.prints, grams), len(index.prints) - 1)
-        hits = np.flatnonzero(index.prints[near] == grams)
+    if len(index.prints):
+        hits = [np.zeros(0, np.int64)]
+        for size in index.sizes:
+            grams = W.runs(found.codes, size)
+            near = np.minimum(np.searchsorted(index.prints, grams), len(index.prints) - 1)
+            hits.append(np.flatnonzero(index.prints[near] == grams))
+        hits = np.concatenate(hits)
         for row in np.unique(np.searchsorted(found.first, hits, side="right") - 1).tolist():
             a, b = found.first[row], found.first[row + 1]
             starts, ends = found.starts[a:b], found.ends[a:b]

@@ -307,6 +307,22 @@ def test_licenses(spark):
     assert not [r for r in found if r.doc_id not in (1, 2)]
 
 
+def test_licenses_with_a_changed_word_and_in_a_chain(spark):
+    """Any one word of a five-word notice changed; a full notice after many of its first lines."""
+    body, rows = "lorem ipsum dolor sit amet " * 8, []
+    line = NOTICES["mit-line"].split()
+    for at in range(len(line)):
+        rows.append((at, body + " ".join([*line[:at], "other", *line[at + 1 :]]) + " " + body))
+    repeated = "Licensed under the Apache License, Version 2.0.\n" * 200
+    rows.append((9, body + repeated + NOTICES["apache-2.0"] + body))
+    got = licenses.scan_licenses(table(spark, rows, extra=False), NOTICES).collect()
+    assert {r.doc_id for r in got if r.template == "mit-line" and r.coverage == 0.8} == set(range(5))
+    full = [r for r in got if r.template == "apache-2.0"]
+    assert [(r.doc_id, r.coverage) for r in full] == [(9, 1.0)]
+    assert rows[-1][1][full[0].begin : full[0].end] == NOTICES["apache-2.0"].rstrip(".")
+    assert sum(r.template == "apache-2.0-line" for r in got) == 201
+
+
 def test_quality(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
