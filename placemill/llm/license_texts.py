@@ -37,3 +37,81 @@ NOTICES: dict[str, str] = {
     "cc-by-nc-4.0-line": "Licensed under CC BY-NC 4.0.",
     "cc-by-4.0-line": "This work is licensed under a Creative Commons Attribution 4.0 license.",
 }
+
+_MIT_WARRANTY = (
+    ' THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, '
+    "INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR "
+    "PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE "
+    "FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR "
+    "OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER "
+    "DEALINGS IN THE SOFTWARE."
+)
+_BSD_CONDITIONS = (
+    "Redistribution and use in source and binary forms, with or without modification, are "
+    "permitted provided that the following conditions are met: 1. Redistributions of source "
+    "code must retain the above copyright notice, this list of conditions and the following "
+    "disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, "
+    "this list of conditions and the following disclaimer in the documentation and/or other "
+    "materials provided with the distribution. "
+)
+_BSD_THIRD = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used "
+    "to endorse or promote products derived from this software without specific prior written "
+    "permission. "
+)
+_BSD_DISCLAIMER = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY '
+    "EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF "
+    "MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE "
+    "COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, "
+    "EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF "
+    "SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) "
+    "HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR "
+    "TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS "
+    "SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+
+
+def _gnu(name: str, version: str) -> str:
+    return (
+        "This program is free software: you can redistribute it and/or modify it under the terms "
+        f"of the GNU {name} General Public License as published by the Free Software Foundation, "
+        f"either version {version} of the License, or (at your option) any later version. This "
+        "program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; "
+        "without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. "
+        f"See the GNU {name} General Public License for more details."
+    )
+
+
+#: Whole texts of short licences, and the notices that longer ones ask to be put in files.
+NOTICES |= {
+    "mit-full": NOTICES["mit"] + _MIT_WARRANTY,
+    "bsd-2-clause-full": _BSD_CONDITIONS + _BSD_DISCLAIMER,
+    "bsd-3-clause-full": _BSD_CONDITIONS + _BSD_THIRD + _BSD_DISCLAIMER,
+    "isc-full": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
+        "without fee is hereby granted, provided that the above copyright notice and this "
+        'permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR '
+        "DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF "
+        "MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, "
+        "DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS "
+        "OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS "
+        "ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+    ),
+    "mpl-2.0": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a "
+        "copy of the MPL was not distributed with this file, You can obtain one at "
+        "http://mozilla.org/MPL/2.0/."
+    ),
+    "lgpl-3.0-or-later": _gnu("Lesser", "3"),
+    "lgpl-2.1-or-later": (
+        "This library is free software; you can redistribute it and/or modify it under the terms "
+        "of the GNU Lesser General Public License as published by the Free Software Foundation; "
+        "either version 2.1 of the License, or (at your option) any later version."
+    ),
+    "agpl-3.0-or-later": _gnu("Affero", "3"),
+    "epl-2.0": (
+        "This program and the accompanying materials are made available under the terms of the "
+        "Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"
+    ),
+}

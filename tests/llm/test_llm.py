@@ -323,6 +323,18 @@ def test_licenses_with_a_changed_word_and_in_a_chain(spark):
     assert sum(r.template == "apache-2.0-line" for r in got) == 201
 
 
+def test_every_registered_licence_is_found(spark):
+    """Whole texts of MIT, BSD and ISC and notices of MPL, LGPL, AGPL and EPL among them."""
+    names = sorted(NOTICES)
+    wanted = "mit-full bsd-2-clause-full bsd-3-clause-full isc-full mpl-2.0 epl-2.0".split()
+    wanted += "lgpl-2.1-or-later lgpl-3.0-or-later agpl-3.0-or-later".split()
+    assert set(wanted) <= set(names)
+    rows = [(at, f"lorem ipsum {NOTICES[name]} dolor sit") for at, name in enumerate(names)]
+    got = licenses.scan_licenses(table(spark, rows, extra=False), NOTICES).collect()
+    whole = {(r.doc_id, r.template) for r in got if r.coverage == 1}
+    assert whole >= set(enumerate(names))
+
+
 def test_quality(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
