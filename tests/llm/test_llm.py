@@ -281,6 +281,16 @@ def test_order_fingerprints(spark):
     assert prints[1] == prints[2] == prints[3] and prints[7] == prints[8] != prints[9]
 
 
+def test_order_fingerprints_of_texts_without_spaces(spark):
+    draw = random.Random(9)
+    chinese = "".join(chr(0x4E00 + draw.randrange(3000)) for _ in range(400))
+    encoded = "".join(draw.choice("abcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(800))
+    for text, new in ((chinese, "\u4e2d"), (encoded, "Z"), (chinese[:15], "\u4e2d")):
+        _, same = edit_sensitive(spark, text, text[:3] + new + text[3:])
+        _, other = edit_sensitive(spark, text, text[::-1])
+        assert other < 0.3 < 0.5 < same
+
+
 def test_order_query_against_python(spark, tmp_path):
     rows = [(key, text) for key, text in ODD if key is not None]
     table(spark, rows, extra=False).write.parquet(str(tmp_path / "documents.parquet"))
