@@ -135,7 +135,10 @@ def train(
         order = Window.partitionBy("lang").orderBy(F.desc("n"), "item")
         all_of = Window.partitionBy("lang")
         counts = counts.withColumn("total", F.sum("n").over(all_of))
-        counts = counts.withColumn("at", F.row_number().over(order)).where(F.col("at") <= most)
+        counts = counts.withColumn("at", F.row_number().over(order))
+        # an item that is kept for one language keeps its counts in all
+        counts = counts.withColumn("best", F.min("at").over(Window.partitionBy("item")))
+        counts = counts.where(F.col("best") <= most)
         return [(kind + row["item"], row["lang"], row["n"], row["total"]) for row in counts.collect()]
 
     found_rows = top(words.withColumnRenamed("word", "item"), "w", WORDS_PER_LANGUAGE)

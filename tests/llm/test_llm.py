@@ -246,6 +246,15 @@ def test_language(spark):
     assert none.predict("text") == ("und", 0.0)
 
 
+def test_a_word_kept_for_one_language_keeps_its_counts_in_others(spark, monkeypatch):
+    monkeypatch.setattr(langid, "WORDS_PER_LANGUAGE", 2)
+    rows = [(1, "x x x y y z", "a"), (2, "z z z z w w w", "b")]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert {key for key in model.rows if key[0] == "w"} == {"wx", "wy", "wz", "ww"}
+    a, b = np.exp(model.table[model.rows["wz"]]) * (np.array([6, 7]) + 500)
+    assert round(a, 6) == 1.5 and round(b, 6) == 4.5
+
+
 def test_lookup_table_is_balanced_and_stable(spark):
     names = [f"s{at}" for at in range(20)]
     full, less = sharding.lookup_table(names, 2003), sharding.lookup_table(names[:-1], 2003)
