@@ -8,11 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placemill.llm import decontaminate, langid, licenses, ordermin, packing, quality, sharding
+from placemill.llm import decontaminate, langid, licenses, oracle, ordermin, packing, quality
+from placemill.llm import sharding, warc
 from placemill.llm.license_texts import NOTICES
 from placemill.llm.neardup import near_duplicates
 from placemill.llm.repeats import remove_repeats
+from placemill.llm.resample import resample
 from placemill.llm.tokens import count_tokens
+from placemill.llm.variants import spelling_variants
 from placemill.runtime import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -166,3 +169,31 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The place of every piece of every document in sequences of 2048 tokens."""
     docs = _documents(spark, sf_dir).select("doc_id", "text")
     return packing.pack(docs, public_tokenizers.path(TOKENIZER), capacity=OVER_LIMIT)
+
+
+@_query(oracle.RESAMPLE)
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the documents, drawn by their likeness to the benchmark's texts."""
+    return resample(_documents(spark, sf_dir), _table(spark, sf_dir, "benchmark"))
+
+
+@_query(oracle.ARCHIVES)
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to archives and read back from them."""
+    pages = _table(spark, sf_dir, "pages")
+    manifest = warc.write_archives(pages, scratch_path(spark, "archives"))
+    records = warc.read_archives(manifest).where(F.col("record_type").isin("response", "revisit"))
+    return records.select(
+        F.col("id").cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
+@_query(oracle.VARIANTS)
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents, with made typos, under their commonest near spelling."""
+    found = spelling_variants(_documents(spark, sf_dir), drop_every=31)
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
