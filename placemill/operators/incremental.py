@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from placemill.operators.keyfilter import MAX_KEYS, maybe_among
 from placemill.operators.spread import spread_join
-from placemill.runtime import is_small
+from placemill.runtime import BROADCAST_ROWS, is_small
 
 
 def restrict_to(df: DataFrame, keys_df: DataFrame, on: str | Sequence[str]) -> DataFrame:
@@ -35,9 +36,13 @@ def only_new(
 
     Null equals nothing, so a row with a null key is always new. Duplicates
     inside the batch stay. ``prune_on`` names a column whose range in the batch
-    (one small query) limits the part of the target that is scanned. Of the target,
-    only rows with a key of the batch move, while the batch is within the broadcast
-    bound.
+    (one small query) limits the part of the target that is scanned.
+
+    A batch within the broadcast bound is not shuffled, and of the target no more
+    than its keys' rows are. Of a larger batch a bitmap of its key hashes goes to the
+    target scan, and only target rows that pass it move, until the batch has more
+    than ``keyfilter.MAX_KEYS`` rows. The batch is read two or three times, so it
+    should come from storage.
     """
     keys = [name for name in batch.columns if name not in ignore]
     known = target.select(*keys)
@@ -47,7 +52,12 @@ def only_new(
         known = known.filter(
             F.col(prune_on).between(F.lit(low).cast(kind), F.lit(high).cast(kind))
         )
-    wanted = batch.select(*keys).distinct()
-    if is_small(wanted):
-        known = known.join(F.broadcast(wanted), keys, "left_semi")
+    wanted = batch.select(*keys)
+    rows = wanted.count()
+    if rows <= BROADCAST_ROWS and is_small(wanted):
+        # No more distinct keys than the batch has rows: small enough to be sent, too.
+        found = known.join(F.broadcast(wanted), keys, "left_semi").distinct()
+        return batch.join(F.broadcast(found), keys, "left_anti")
+    if rows <= MAX_KEYS:
+        known = maybe_among(known, wanted, keys, keys=rows)
     return spread_join(batch, known.distinct(), keys, "left_anti")

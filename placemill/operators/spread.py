@@ -20,6 +20,9 @@ def spread_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str)
     exact = [name for name in on if not isinstance(left.schema[name].dataType, FractionalType)]
     if not exact:
         return left.join(right, list(on), how)
-    code = F.xxhash64(*exact)
-    sides = left.withColumn("_spread", code), right.withColumn("_spread", code)
-    return sides[0].join(sides[1], [*on, "_spread"], how).drop("_spread")
+    code, name = F.xxhash64(*exact), "_spread"
+    taken = {own.lower() for own in (*left.columns, *right.columns)}
+    while name in taken:
+        name = "_" + name
+    sides = left.withColumn(name, code), right.withColumn(name, code)
+    return sides[0].join(sides[1], [*on, name], how).drop(name)

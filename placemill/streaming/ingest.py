@@ -8,7 +8,8 @@ run again, so a restart neither loses nor doubles rows.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,11 +18,21 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
 from placemill.operators.incremental import only_new
+from placemill.runtime import cut_lineage
 from placemill.sinks.tables import conform, write_all
 from placemill.sources.readers import POSITION
 
 Build = Callable[[Mapping[str, DataFrame]], Mapping[str, DataFrame]]
 
+_STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+#: JSON in which different values stay different.
+_EXACT = {
+    "ignoreNullFields": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 @dataclass(frozen=True)
 class BatchFolders:
@@ -76,12 +87,19 @@ def ingest(
     options: Mapping[str, str] | None = None,
     static: Callable[[SparkSession], Mapping[str, DataFrame]] | None = None,
     max_files: int | None = None,
+    known_by: Sequence[str] | None = None,
 ) -> StreamingQuery:
     """Start a query that takes in all files not seen yet, then stops.
 
     ``build`` gets the new rows as input ``name``, with the position columns of
     ``read_many``, next to the inputs of ``static``, which is called for every
     batch so that changed side tables are seen. ``max_files`` bounds a batch.
+
+    ``known_by`` names columns: rows that agree in all of them (nulls alike) are taken
+    once, however often and in whichever batch they arrive; which one of those that arrive
+    together is not fixed. A digest of a row's columns is kept in the state store, so a batch costs
+    as much as its own rows, whatever was loaded before. Rows pass through a shuffle on the
+    digest and lose their order within a file.
     """
     reader = spark.readStream.schema(schema).format(fmt).option("mode", "FAILFAST")
     reader = reader.options(**(options or {}))
@@ -93,19 +111,50 @@ def ingest(
         F.col("_metadata.file_path").alias(POSITION[0]),
         F.col("_metadata.file_block_start").alias(POSITION[1]),
     )
+    if known_by is not None:
+        rows = first_arrivals(rows, known_by)
 
     def load(batch: DataFrame, batch_id: int) -> None:
         sides = static(batch.sparkSession) if static else {}
+        if known_by is not None:
+            # Several tables read the batch; all must see the same choice among equal rows.
+            batch = cut_lineage(batch)
         placed = batch.withColumn(POSITION[2], F.monotonically_increasing_id())
         tables = build({**sides, name: placed})
         write_all(tables, lambda table, df: sink.write(table, df, batch_id))
 
-    return (
-        rows.writeStream.foreachBatch(load)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    writer = rows.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+    with state_on_disk(spark):
+        return writer.trigger(availableNow=True).start()
+
+
+def first_arrivals(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The rows of a stream whose values in ``columns`` have not been met before."""
+    name = "_digest"
+    while name in rows.columns:
+        name = "_" + name
+    values = F.to_json(F.struct(*columns), _EXACT)
+    digested = rows.withColumn(name, F.unhex(F.sha2(values, 256)))
+    return digested.dropDuplicates([name]).drop(name)
+
+
+@contextmanager
+def state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside keep their state in RocksDB, not on the heap.
+
+    A session that names a state store itself keeps it, and so does a query that is
+    started again from its checkpoint.
+    """
+    own = spark.conf.get(_STATE_STORE, None)
+    if own is None or own.endswith("HDFSBackedStateStoreProvider"):
+        spark.conf.set(_STATE_STORE, _ROCKSDB)
+    try:
+        yield
+    finally:
+        if own is None:
+            spark.conf.unset(_STATE_STORE)
+        else:
+            spark.conf.set(_STATE_STORE, own)
 
 
 @dataclass(frozen=True)

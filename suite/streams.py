@@ -8,7 +8,7 @@ from placemill import plans, streaming
 from placemill import schemas as S
 from placemill.runtime import scratch_path
 from suite import inputs
-from suite.tables import MAPS_REVIEWS_RESULT, YELP_REVIEWS_RESULT
+from suite.tables import MAPS_REVIEWS_RESULT, REPLIES_RESULT, YELP_REVIEWS_RESULT
 from suite.registry import query
 
 
@@ -131,3 +131,84 @@ def static_sides(t):
         )
     )
     return sink.read(t.spark, "reviews")
+
+
+@query(
+    "t1_first_arrivals",
+    f"""SELECT 'reviews' AS name, business_id, date AS at, text FROM ({MAPS_REVIEWS_RESULT})
+    UNION ALL
+    SELECT 'resp_reviews', business_id, time, text FROM ({REPLIES_RESULT})""",
+)
+def first_arrivals(t):
+    """Rows arrive twice in one run and again in the next; state keeps each from loading twice."""
+    raw, out = scratch_path(t.spark, "t1f-raw"), scratch_path(t.spark, "t1f-out")
+    sink = streaming.BatchFolders(out, S.OUTPUT_TABLES)
+    reviews = inputs.maps_reviews(t)
+
+    def run():
+        return streaming.ingest(
+            t.spark,
+            raw,
+            S.MAPS_REVIEWS,
+            plans.build_maps_reviews,
+            sink,
+            glob="*.json",
+            checkpoint=f"{out}/_checkpoint",
+            name="reviews",
+            known_by=S.MAPS_REVIEWS.names,
+        )
+
+    early = F.col("rating") <= 5
+    for arrivals in ({"1": reviews.filter(early), "2": reviews.filter(early)}, {"3": reviews}):
+        for folder, rows in arrivals.items():
+            rows.write.json(f"{raw}/{folder}")
+        _run(run)
+    found = sink.read(t.spark, "reviews")
+    replies = sink.read(t.spark, "resp_reviews")
+    return found.select(
+        F.lit("reviews").alias("name"), "business_id", F.col("date").alias("at"), "text"
+    ).union(replies.select(F.lit("resp_reviews"), "business_id", "time", "text"))
+
+
+@query(
+    "t2_catch_all",
+    f"""SELECT 'tips_yelp' AS name, user_id, date AS at FROM ({inputs.TIPS_RESULT})
+    UNION ALL
+    SELECT 'users_yelp', user_id, yelping_since FROM ({inputs.USERS_RESULT})""",
+)
+def catch_all(t):
+    """Tips go by their name, although a later route matches them as well; all other files are users."""
+    raw, out = scratch_path(t.spark, "t2c-raw"), scratch_path(t.spark, "t2c-out")
+    users = inputs.yelp_users(t).drop("source_seq")
+    sink = streaming.BatchFolders(out, S.OUTPUT_TABLES)
+
+    def build_users(sides):
+        return plans.build_yelp_users(
+            {"users": sides["users"]}, order_by=["review_count"], scope="global"
+        )
+
+    routes = [
+        streaming.Route("tip.json/*", S.YELP_TIPS, plans.build_yelp_tips, "tips"),
+        streaming.Route("*.json", users.schema, build_users, "users"),
+    ]
+    rest = streaming.Route("*", users.schema, build_users, "users", "parquet")
+
+    def run():
+        return streaming.ingest_by_name(
+            t.spark, raw, routes, sink, checkpoint=f"{out}/_checkpoint", default=rest
+        )
+
+    tips = inputs.yelp_tips(t)
+    third = F.pmod(F.xxhash64("user_id"), F.lit(3))
+    tips.write.option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").json(f"{raw}/tip.json")
+    users.where(third == 0).write.parquet(f"{raw}/users [old]")
+    _run(run)
+    users.where(third == 1).write.json(f"{raw}/users {{new}}")
+    users.where(third == 2).write.parquet(f"{raw}/tip.json.copy")
+    _run(run)
+    _run(run)
+    found = sink.read(t.spark, "tips_yelp")
+    people = sink.read(t.spark, "users_yelp")
+    return found.select(F.lit("tips_yelp").alias("name"), "user_id", F.col("date").alias("at")).union(
+        people.select(F.lit("users_yelp").alias("name"), "user_id", "yelping_since")
+    )

@@ -46,8 +46,9 @@ def payload(df):
 
 @pytest.fixture
 def large_keys(monkeypatch):
-    """As if key sets and batches were beyond the broadcast bound."""
+    """As if key sets and batches were beyond the bounds of broadcasts and of key filters."""
     monkeypatch.setattr("placemill.operators.incremental.is_small", lambda df: False)
+    monkeypatch.setattr("placemill.operators.incremental.MAX_KEYS", 0)
 
 
 def test_hot_key_of_a_semi_join_is_split(spark, skewed, large_keys):
