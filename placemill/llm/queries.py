@@ -14,7 +14,7 @@ from placemill.llm.license_texts import NOTICES
 from placemill.llm.neardup import near_duplicates
 from placemill.llm.repeats import remove_repeats
 from placemill.llm.resample import resample
-from placemill.llm.tokens import count_tokens
+from placemill.llm.tokens import token_counts
 from placemill.llm.variants import spelling_variants
 from placemill.runtime import scratch_path
 
@@ -101,11 +101,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every whole text, through a cache that this run begins."""
     docs = _documents(spark, sf_dir).select("doc_id", "text")
     path = public_tokenizers.path(TOKENIZER)
-    counted = count_tokens(docs, path, scratch_path(spark, "token-counts"))
-    n_bytes = F.octet_length(F.coalesce(F.col("text"), F.lit("")))
+    counted = token_counts(docs, path, scratch_path(spark, "token-counts"))
     return counted.select(
         "doc_id",
-        n_bytes.cast("long").alias("n_bytes"),
+        "n_bytes",
         "n_tokens",
         (F.col("n_tokens") > OVER_LIMIT).alias("over_limit"),
     )

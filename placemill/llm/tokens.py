@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from placemill.llm import words as W
 from placemill.llm.shared import free_name, stored
+from placemill.operators.keyfilter import MAX_KEYS, maybe_among
 from placemill.operators.spread import spread_join
 from placemill.runtime import broadcast_if_small
 
@@ -23,6 +24,7 @@ from placemill.runtime import broadcast_if_small
 REMEMBERED = 1_500_000
 _BATCH = 2 << 20
 _GROUP = 64
+_TWO_BYTES = 0x800  # code points of one or two bytes in UTF-8
 
 Encode = Callable[[pa.Array], list]
 
@@ -44,7 +46,9 @@ class WordEnds:
 
     White space only ever separates: the ids of a text are those of its words, one after
     the other. So each word is encoded once and remembered under its 64-bit code. A full
-    stop or comma after a letter is a piece of its own and counts as a word. ASCII words
+    stop or comma is a word of its own after the letters where the tokenizer's own
+    normaliser and pre-tokenizer make it a piece of its own (not after U+0130, which becomes a
+    letter and a mark, and the mark stays with the point). ASCII words
     are put in lower case, as the tokenizer does it, except those with ``<``: special
     strings are looked for before that. Words of letters alone are encoded in groups and
     parted at the pieces that end a word.
@@ -60,8 +64,20 @@ class WordEnds:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[at for piece, at in vocabulary.items() if piece.endswith("</w>")]] = True
+        self.parts = np.array([self._parts_from(chr(at)) for at in range(_TWO_BYTES)], bool)
         self._forget()
 
+    def _parts_from(self, letter: str) -> bool:
+        """Whether points after the letter are always pieces of their own."""
+        if not letter.isalpha():
+            return False
+        clean, cut = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        for point in ".,":
+            pieces = cut.pre_tokenize_str(clean.normalize_str(f"a{letter}{point}"))
+            if len(pieces) < 2 or pieces[-1][0] != point:
+                return False
+        return True
+
     def _forget(self) -> None:
         self.codes = np.zeros(0, np.uint64)
         self.begins = np.zeros(0, np.int64)
@@ -115,15 +131,13 @@ class WordEnds:
         spaces = (data == 32) | ((data >= 9) & (data <= 13))
         fold[~spaces] = np.repeat(odd[ends] == odd[starts], ends - starts)
         data = np.where(fold, W.lower_ascii(data), data)
-        last, before = data[ends - 1], data[np.maximum(ends - 2, 0)]
-        earlier = data[np.maximum(ends - 3, 0)]
-        letter = ((before | 32) >= ord("a")) & ((before | 32) <= ord("z"))
-        wide = (earlier >= 0xC3) & (earlier <= 0xC9) & (before >= 0x80) & (before < 0xC0)
-        wide &= ~((earlier == 0xC3) & ((before == 0x97) | (before == 0xB7)))
+        last, before = data[ends - 1], data[np.maximum(ends - 2, 0)].astype(np.int64)
+        earlier = data[np.maximum(ends - 3, 0)].astype(np.int64)
         size = ends - starts
-        point = ((last == ord(".")) | (last == ord(","))) & (
-            ((size > 1) & letter) | ((size > 2) & wide)
-        )
+        wide = (size > 2) & (earlier >= 0xC2) & (earlier <= 0xDF) & (before >= 0x80)
+        letter = np.where(wide, (earlier & 0x1F) << 6 | before & 0x3F, before)
+        point = ((last == ord(".")) | (last == ord(","))) & (size > 1)
+        point &= (wide | (before < 0x80)) & self.parts[letter]
         at = np.flatnonzero(point)
         first = np.searchsorted(starts, offsets)
         first = first + np.searchsorted(at, first)
@@ -244,42 +258,27 @@ def normal_text(text_column: str, path: str):
     return F.regexp_replace(text, "[ \t\r\n]+", " ") if drops_space(path) else text
 
 
-def count_tokens(
-    docs: DataFrame,
-    tokenizer: str,
-    cache: str,
-    *,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-) -> DataFrame:
-    """``docs`` with ``n_tokens`` (long), taken from the cache folder and added to it.
-
-    Content is normalised (white space runs become a space, for tokenizers that drop
-    white space), digested, and joined to the counts stored for the digest and the
-    tokenizer's version. Of the digests without a count one text each is encoded, whole,
-    and the counts are appended. Only ids and digests are shuffled, and the texts of the
-    misses, by id; while the misses are few, no text moves.
-
-    Two runs that append at once store the same counts twice, which is harmless. Null
-    text counts as empty, with no tokens. Null and repeated ids are fine. No rows give no
-    rows and an unchanged cache. ``tokenizer`` is a path that all executors have.
-    """
-    spark = docs.sparkSession
+def _filled(docs: DataFrame, tokenizer: str, cache: str, id_column: str, text_column: str):
+    """Encodes the misses into the cache; the rows without texts, and all counts by digest."""
     version_of = tokenizer_digest(tokenizer)
-    n_tokens, digest = free_name(docs, "n_tokens"), free_name(docs, "digest")
+    n_bytes, digest = free_name(docs, "n_bytes"), free_name(docs, "digest")
     content = F.sha2(normal_text(text_column, tokenizer), 256)
-    keyed = stored(
-        docs.select(F.col(id_column).alias("id"), content.alias("digest")), "digests"
-    )
-    known = read_cache(spark, cache).where(F.col("tokenizer") == version_of).drop("tokenizer")
-    one = keyed.groupBy("digest").agg(F.min("id").alias("id"))
-    misses = stored(one.join(known.select("digest"), "digest", "left_anti"), "misses")
+    size = F.octet_length(F.coalesce(F.col(text_column).cast("string"), F.lit("")))
+    rest = [F.col(name) for name in docs.columns if name != text_column]
+    keyed = docs.select(*rest, size.cast("long").alias(n_bytes), content.alias(digest))
+    keyed = stored(keyed, "digests")
+    known = read_cache(docs.sparkSession, cache).where(F.col("tokenizer") == version_of)
+    one = keyed.groupBy(F.col(digest).alias("digest")).agg(F.min(id_column).alias("id"))
+    misses = one.join(known.select("digest"), "digest", "left_anti")
+    misses = stored(misses.withColumn("row_key", F.xxhash64("id", "digest")), "misses")
     texts = docs.select(
         F.col(id_column).alias("id"), content.alias("digest"), F.col(text_column).alias("text")
-    )
-    side = broadcast_if_small(misses.select(F.col("id").alias("i"), F.col("digest").alias("d")))
-    same = texts["id"].eqNullSafe(side["i"]) & (texts["digest"] == side["d"])
-    wanted = texts.join(side, same, "left_semi").select("digest", "text")
+    ).withColumn("row_key", F.xxhash64("id", "digest"))
+    missing = misses.count()
+    if missing <= MAX_KEYS:
+        wanted = maybe_among(texts, misses, ["row_key"], keys=missing)
+    else:
+        wanted = texts.join(misses.select("row_key"), "row_key", "left_semi")
 
     def run(batches):
         encode = encoder(tokenizer)
@@ -291,12 +290,58 @@ def count_tokens(
                     [part.column(0), pa.array(sizes, pa.int64())], ["digest", "n_tokens"]
                 )
 
-    fresh = wanted.mapInArrow(run, "digest string, n_tokens long")
+    fresh = wanted.select("digest", "text").mapInArrow(run, "digest string, n_tokens long")
+    fresh = fresh.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
+    fresh = spread_join(fresh, misses.select("digest"), ["digest"], "left_semi")
     fresh.select(F.lit(version_of).alias("tokenizer"), "digest", "n_tokens").write.mode(
         "append"
     ).parquet(cache)
-    counts = read_cache(spark, cache).where(F.col("tokenizer") == version_of)
+    counts = read_cache(docs.sparkSession, cache).where(F.col("tokenizer") == version_of)
+    n_tokens = free_name(docs, "n_tokens")
     counts = counts.select(F.col("digest").alias(digest), F.col("n_tokens").alias(n_tokens))
-    return spread_join(docs.withColumn(digest, content), counts, [digest], "left").drop(digest)
+    return keyed, content, counts, digest
 
 
+def token_counts(
+    docs: DataFrame,
+    tokenizer: str,
+    cache: str,
+    *,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+) -> DataFrame:
+    """``docs`` without the text, with ``n_bytes`` and ``n_tokens`` (long) from the cache folder.
+
+    Content is normalised (white space runs become a space, for tokenizers that drop
+    white space), digested, and joined to the counts stored for the digest and the
+    tokenizer's version. Of the digests without a count one text each is encoded, whole,
+    where it lies, and the counts are appended. Texts are never shuffled: a bitmap of the
+    misses' hashes finds them in the scan, and the few texts that share a bit without being
+    one are encoded for nothing. Beyond ``MAX_KEYS`` misses the bitmap would hold nothing
+    back, and the texts of the misses are joined by a hash of id and digest instead.
+
+    Two runs that append at once store the same counts twice, which is harmless. Null
+    text counts as empty, with no tokens. Null and repeated ids are fine. No rows give no
+    rows and an unchanged cache. Underscores go in front of a result's name that ``docs``
+    has. ``tokenizer`` is a path that all executors have.
+    """
+    keyed, _, counts, digest = _filled(docs, tokenizer, cache, id_column, text_column)
+    return spread_join(keyed, counts, [digest], "left").drop(digest)
+
+
+def count_tokens(
+    docs: DataFrame,
+    tokenizer: str,
+    cache: str,
+    *,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+) -> DataFrame:
+    """``docs`` with ``n_tokens`` (long), by the cache of :func:`token_counts`.
+
+    Rows keep their texts, so the join that attaches the counts moves them, unless the counts are
+    few. Where the texts are not needed, take :func:`token_counts`. Odd rows as there.
+    """
+    _, content, counts, digest = _filled(docs, tokenizer, cache, id_column, text_column)
+    counts = broadcast_if_small(counts)
+    return spread_join(docs.withColumn(digest, content), counts, [digest], "left").drop(digest)
