@@ -1,7 +1,8 @@
 """Language identification: known words first, then shorter and shorter n-grams.
 
-Training counts the words of a bounded sample of labelled documents per language, and
-the character n-grams of those words, all as grouped sums on Spark. A word that training
+Training counts all words of a bounded sample of labelled documents per language, and
+the character n-grams of those words, all as grouped sums on Spark. A word is a letter and the
+letters and marks after it, by Unicode category. A word that training
 saw scores by its log frequency in each language. An unseen word scores by the mean over
 its known n-grams of the longest length that has any. The scores of all words of a text
 add up; their softmax gives the language and its probability.
@@ -9,34 +10,61 @@ add up; their softmax gives the language and its probability.
 
 from __future__ import annotations
 
-import re
-from collections import Counter
+import sys
+import unicodedata
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from placemill.llm import words as W
 from placemill.llm.shared import free_name
 
 UNKNOWN = "und"
-LETTERS = re.compile(r"[^\W\d_]+")
-#: Bounds of the model: labelled documents, words and n-grams of each length a language.
+#: Bound of the sample of labelled documents a language; all words of the sample count.
 DOCS_PER_LANGUAGE = 4000
-WORDS_PER_LANGUAGE = 10_000
-GRAMS_PER_LANGUAGE = 5_000
+#: Bounds of the commonest words and n-grams of each length a language; None keeps all.
+WORDS_PER_LANGUAGE: int | None = None
+GRAMS_PER_LANGUAGE: int | None = None
 LONGEST_GRAM = 4
-_FLUSH = 200_000
-_REMEMBERED = 100_000
 _SMOOTH = 0.5
+_TEXT_BYTES = 1 << 20
+_LETTER, _MARK = 1, 2
+
+
+def character_classes() -> np.ndarray:
+    """For each code point whether it is a letter (Unicode L) or a mark (Unicode M)."""
+    first = (unicodedata.category(chr(at))[0] for at in range(sys.maxunicode + 1))
+    kinds = {"L": _LETTER, "M": _MARK}
+    return np.fromiter((kinds.get(kind, 0) for kind in first), np.uint8, sys.maxunicode + 1)
+
+
+def _points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The code points of all texts on end, and where each begins."""
+    data = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    return data, np.r_[0, np.cumsum([len(text) for text in texts], dtype=np.int64)]
+
+
+def _word_spans(data: np.ndarray, offsets: np.ndarray, classes: np.ndarray):
+    """Where words begin and end: a letter, then letters and marks, in one text."""
+    kind = classes[data]
+    starts, ends = W.spans(data, offsets, lambda points: kind > 0)
+    # A run that begins with marks begins at its first letter, if it has one.
+    place = np.r_[np.flatnonzero(kind == _LETTER), len(data)]
+    starts = place[np.searchsorted(place, starts)]
+    return starts[starts < ends], ends[starts < ends]
 
 
 def words_in(text: str | None) -> list[str]:
-    """Runs of letters in lower case."""
-    return LETTERS.findall(text.lower()) if text else []
+    """The words of a text in lower case."""
+    low = (text or "").lower()
+    spans = _word_spans(*_points([low]), character_classes())
+    return [low[a:b] for a, b in zip(*(side.tolist() for side in spans), strict=True)]
 
 
 def grams_of(word: str, size: int) -> list[str]:
@@ -45,6 +73,90 @@ def grams_of(word: str, size: int) -> list[str]:
     return [marked[at : at + size] for at in range(len(marked) - size + 1)]
 
 
+@dataclass
+class Scores:
+    """Sorted 64-bit codes of items, and the log frequencies of each in all languages."""
+
+    codes: np.ndarray
+    table: np.ndarray
+
+    def find(self, codes: np.ndarray) -> np.ndarray:
+        """The row of each code, or -1."""
+        if not len(self.codes):
+            return np.full(len(codes), -1)
+        at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
+        return np.where(self.codes[at] == codes, at, -1)
+
+
+class Scorer:
+    """A model as arrays: the words, and the n-grams of each length, longest first."""
+
+    def __init__(self, languages: list[str], rows: dict[str, int], table: np.ndarray):
+        self.languages, self.classes = languages, character_classes()
+        self.items: dict[str, Scores] = {}
+        for kind in ("w", *(str(size) for size in range(LONGEST_GRAM, 0, -1))):
+            found = [(item[1:], at) for item, at in rows.items() if item[0] == kind]
+            data, offsets = _points([item for item, _ in found])
+            codes = W.codes_of(data, offsets[:-1], offsets[1:])
+            order = np.argsort(codes)
+            at = np.array([at for _, at in found], np.int64)[order]
+            self.items[kind] = Scores(codes[order], table[at])
+
+    def _backed_off(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Scores of unseen words: the mean over the longest known n-grams, else nothing."""
+        sizes = ends - starts + 2
+        first = np.cumsum(sizes) - sizes
+        marked = np.full(int(sizes.sum()), ord(">"), np.uint32)
+        marked[first] = ord("<")
+        inside = np.arange(len(marked)) - np.repeat(first, sizes)
+        body = (inside > 0) & (inside < np.repeat(sizes - 1, sizes))
+        marked[body] = data[np.repeat(starts - 1, sizes)[body] + inside[body]]
+        out = np.zeros((len(starts), len(self.languages)))
+        left = np.arange(len(starts))
+        for size in range(LONGEST_GRAM, 0, -1):
+            ends_of = sizes[left] - (2 if size == 1 else 0)
+            count = np.maximum(ends_of - size + 1, 0)
+            owner = np.repeat(np.arange(len(left)), count)
+            at = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+            at += first[left][owner] + (1 if size == 1 else 0)
+            row = self.items[str(size)].find(W.codes_of(marked, at, at + size))
+            owner, row = owner[row >= 0], row[row >= 0]
+            known = np.bincount(owner, minlength=len(left))
+            table = self.items[str(size)].table
+            for lang in range(len(self.languages)):
+                sums = np.bincount(owner, table[row, lang], len(left))
+                out[left, lang] = np.where(known > 0, sums / np.maximum(known, 1), 0.0)
+            left = left[known == 0]
+            if not len(left):
+                break
+        return out
+
+    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+        """The language of each text and its probability."""
+        low = [(text or "").lower() for text in texts]
+        data, offsets = _points(low)
+        starts, ends = _word_spans(data, offsets, self.classes)
+        owner = np.searchsorted(offsets, starts, side="right") - 1
+        if not len(starts) or not self.languages:
+            return [UNKNOWN] * len(texts), np.zeros(len(texts))
+        codes = W.codes_of(data, starts, ends)
+        _, here, back = np.unique(codes, return_index=True, return_inverse=True)
+        row = self.items["w"].find(codes[here])
+        scores = np.zeros((len(here), len(self.languages)))
+        scores[row >= 0] = self.items["w"].table[row[row >= 0]]
+        unseen = here[row < 0]
+        scores[row < 0] = self._backed_off(data, starts[unseen], ends[unseen])
+        total = np.stack(
+            [np.bincount(owner, scores[back, at], len(texts)) for at in range(len(self.languages))], 1
+        )
+        odds = np.exp(total - total.max(axis=1, keepdims=True))
+        best = odds.argmax(axis=1)
+        score = odds[np.arange(len(texts)), best] / odds.sum(axis=1)
+        none = np.bincount(owner, minlength=len(texts)) == 0
+        score[none] = 0.0
+        return [UNKNOWN if no else self.languages[at] for at, no in zip(best, none, strict=True)], score
+
+
 @dataclass
 class LanguageModel:
     """Log frequencies per language, a row of ``table`` for each word and n-gram."""
@@ -52,56 +164,35 @@ class LanguageModel:
     languages: list[str]
     rows: dict[str, int]
     table: np.ndarray
-    memory: dict[str, np.ndarray] = field(default_factory=dict)
-
-    def word(self, word: str) -> np.ndarray:
-        at = self.rows.get(f"w{word}")
-        if at is not None:
-            return self.table[at]
-        found = self.memory.get(word)
-        if found is None:
-            found = np.zeros(len(self.languages))
-            for size in range(LONGEST_GRAM, 0, -1):
-                known = [self.rows.get(f"{size}{gram}") for gram in grams_of(word, size)]
-                known = [at for at in known if at is not None]
-                if known:
-                    found = self.table[known].mean(axis=0)
-                    break
-            if len(self.memory) >= _REMEMBERED:
-                self.memory.clear()
-            self.memory[word] = found
-        return found
+
+    def scorer(self) -> Scorer:
+        return Scorer(self.languages, self.rows, self.table)
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """The language and its probability; ``und`` and 0 without a letter or a model."""
-        words = words_in(text)
-        if not words or not self.languages:
-            return UNKNOWN, 0.0
-        total = np.zeros(len(self.languages))
-        for word, count in Counter(words).items():
-            total += count * self.word(word)
-        odds = np.exp(total - total.max())
-        best = int(odds.argmax())
-        return self.languages[best], float(odds[best] / odds.sum())
-
-
-def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter = Counter()
-
-    def flushed():
-        keys = list(counts)
-        columns = [pa.array([key[at] for key in keys], pa.string()) for at in (0, 1)]
-        columns.append(pa.array([counts[key] for key in keys], pa.int64()))
-        counts.clear()
-        return pa.record_batch(columns, ["lang", "word", "n"])
-
-    for batch in batches:
-        for lang, text in zip(*(column.to_pylist() for column in batch.columns), strict=True):
-            for word, count in Counter(words_in(text)).items():
-                counts[lang, word] += count
-            if len(counts) > _FLUSH:
-                yield flushed()
-    yield flushed()
+        languages, scores = self.scorer().predict([text])
+        return languages[0], float(scores[0])
+
+
+def _word_counts(classes: np.ndarray):
+    """Counts the words of batches (language, text), chunk by chunk."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for begin, end in W.pieces(batch.column(1), _TEXT_BYTES):
+                part = batch.slice(begin, end - begin)
+                low = [(text or "").lower() for text in part.column(1).to_pylist()]
+                data, offsets = _points(low)
+                starts, ends = _word_spans(data, offsets, classes)
+                owner = np.searchsorted(offsets, starts, side="right") - 1
+                whole = "".join(low)
+                words = [whole[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+                langs = part.column(0).take(pa.array(owner))
+                found = pa.table({"lang": langs, "word": pa.array(words, pa.string())})
+                counts = found.group_by(["lang", "word"]).aggregate([([], "count_all")])
+                yield from counts.rename_columns(["lang", "word", "n"]).to_batches()
+
+    return run
 
 
 def train(
@@ -128,20 +219,9 @@ def train(
     table = F.create_map(*[F.lit(x) for pair in shares.items() for x in pair])
     draw = F.pmod(F.xxhash64(F.lit("langid"), "id"), F.lit(1 << 20)) / float(1 << 20)
     chosen = rows.where(draw < table[F.col("lang")]).select("lang", "text")
-    words = chosen.mapInArrow(_word_counts, "lang string, word string, n long")
+    words = chosen.mapInArrow(_word_counts(character_classes()), "lang string, word string, n long")
     words = words.groupBy("lang", "word").agg(F.sum("n").alias("n")).persist()
-
-    def top(counts: DataFrame, kind: str, most: int) -> list:
-        order = Window.partitionBy("lang").orderBy(F.desc("n"), "item")
-        all_of = Window.partitionBy("lang")
-        counts = counts.withColumn("total", F.sum("n").over(all_of))
-        counts = counts.withColumn("at", F.row_number().over(order))
-        # an item that is kept for one language keeps its counts in all
-        counts = counts.withColumn("best", F.min("at").over(Window.partitionBy("item")))
-        counts = counts.where(F.col("best") <= most)
-        return [(kind + row["item"], row["lang"], row["n"], row["total"]) for row in counts.collect()]
-
-    found_rows = top(words.withColumnRenamed("word", "item"), "w", WORDS_PER_LANGUAGE)
+    found_rows = _commonest(words.withColumnRenamed("word", "item"), "w", WORDS_PER_LANGUAGE)
     for size in range(1, LONGEST_GRAM + 1):
         marked = F.col("word") if size == 1 else F.concat(F.lit("<"), "word", F.lit(">"))
         begin = F.explode(F.sequence(F.lit(1), F.length("marked") - size + 1)).alias("at")
@@ -149,11 +229,31 @@ def train(
         grams = grams.where(F.length("marked") >= size).select("lang", "n", "marked", begin)
         grams = grams.withColumn("item", F.substring("marked", F.col("at"), F.lit(size)))
         grams = grams.groupBy("lang", "item").agg(F.sum("n").alias("n"))
-        found_rows += top(grams, str(size), GRAMS_PER_LANGUAGE)
+        found_rows += _commonest(grams, str(size), GRAMS_PER_LANGUAGE)
     words.unpersist()
     return _model(found_rows)
 
 
+def _commonest(counts: DataFrame, kind: str, most: int | None) -> list:
+    """(item, language, count, total of the language), of the sample's counts.
+
+    With ``most``, only items that are among so many commonest of a language; such an
+    item keeps its counts in all languages.
+    """
+    table = counts.select("item", "lang", "n").toArrow()
+    totals = table.group_by("lang").aggregate([("n", "sum")])
+    total = dict(zip(*(totals.column(name).to_pylist() for name in ("lang", "n_sum")), strict=True))
+    if most is not None:
+        keep: set = set()
+        for lang in total:
+            own = table.filter(pc.equal(table.column("lang"), lang))
+            own = own.sort_by([("n", "descending"), ("item", "ascending")])
+            keep |= set(own.column("item").slice(0, most).to_pylist())
+        table = table.filter(pc.is_in(table.column("item"), pa.array(sorted(keep), pa.string())))
+    columns = (table.column(name).to_pylist() for name in ("item", "lang", "n"))
+    return [(kind + item, lang, n, total[lang]) for item, lang, n in zip(*columns, strict=True)]
+
+
 def _model(counts: list) -> LanguageModel:
     languages = sorted({row[1] for row in counts})
     column = {lang: at for at, lang in enumerate(languages)}
@@ -172,15 +272,23 @@ def _model(counts: list) -> LanguageModel:
 def predicted(model: LanguageModel, docs: DataFrame, text: Column) -> Column:
     """Struct column (lang, score) for a text column; the model travels by broadcast.
 
-    Its size is bounded by the bounds of the vocabulary times the number of languages.
+    It is arrays of codes and scores, bounded by the sample that it was trained on.
     """
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    held = docs.sparkSession.sparkContext.broadcast(model.scorer())
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         own = held.value
         for texts in batches:
-            pairs = [own.predict(one) for one in texts]
-            yield pd.DataFrame(pairs, columns=["lang", "score"])
+            column = pa.array(texts, pa.string(), from_pandas=True)
+            pairs = [
+                own.predict(column.slice(a, b - a).to_pylist()) for a, b in W.pieces(column, _TEXT_BYTES)
+            ]
+            yield pd.DataFrame(
+                {
+                    "lang": [lang for langs, _ in pairs for lang in langs],
+                    "score": np.concatenate([np.zeros(0), *(scores for _, scores in pairs)]),
+                }
+            )
 
     return F.pandas_udf(run, "lang string, score double")(text)
 
