@@ -16,7 +16,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -276,21 +275,18 @@ def predicted(model: LanguageModel, docs: DataFrame, text: Column) -> Column:
     """
     held = docs.sparkSession.sparkContext.broadcast(model.scorer())
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = held.value
-        for texts in batches:
-            column = pa.array(texts, pa.string(), from_pandas=True)
-            pairs = [
-                own.predict(column.slice(a, b - a).to_pylist()) for a, b in W.pieces(column, _TEXT_BYTES)
-            ]
-            yield pd.DataFrame(
-                {
-                    "lang": [lang for langs, _ in pairs for lang in langs],
-                    "score": np.concatenate([np.zeros(0), *(scores for _, scores in pairs)]),
-                }
-            )
-
-    return F.pandas_udf(run, "lang string, score double")(text)
+        for column in batches:
+            langs, scores = [], [np.zeros(0)]
+            for begin, end in W.pieces(column, _TEXT_BYTES):
+                found = own.predict(column.slice(begin, end - begin).to_pylist())
+                langs += found[0]
+                scores.append(found[1])
+            parts = [pa.array(langs, pa.string()), pa.array(np.concatenate(scores))]
+            yield pa.StructArray.from_arrays(parts, ["lang", "score"])
+
+    return F.arrow_udf(run, "lang string, score double")(text)
 
 
 def identify(

@@ -35,7 +35,10 @@ from placemill.llm.shared import bucket_of, free_name, shuffle_partitions
 #: Rows of the sample from which the prefixes of the groups are chosen. It bears on the
 #: balance of the groups only, never on results.
 SAMPLE_ROWS = 1000
-BUCKETS_PER_PARTITION = 2
+#: Texts are dealt to buckets of about so many bytes, which tasks take one by one; at
+#: least 2 and at most 32 a shuffle partition.
+BUCKET_BYTES = 4 << 20
+_LEAST_BUCKETS, _MOST_BUCKETS = 2, 32
 _NULL_ID, _NO_ID = -(1 << 63), (1 << 63) - 1
 _RECORDS = "part int, bucket int, high binary, low binary, least binary, span binary"
 _REPLIES = "bucket int, part int, kind int, reply binary"
@@ -225,7 +228,8 @@ def remove_repeats(
         raise ValueError("window must be 2 words or more")
     spark = docs.sparkSession
     parts = shuffle_partitions(spark)
-    buckets = parts * BUCKETS_PER_PARTITION
+    size = docs.agg(F.sum(F.octet_length(F.col(text_column).cast("string")))).first()[0] or 0
+    buckets = min(max(-(-size // BUCKET_BYTES), parts * _LEAST_BUCKETS), parts * _MOST_BUCKETS)
     bucket = free_name(docs, "bucket_no")
     n_words, n_removed = free_name(docs, "n_words"), free_name(docs, "n_removed")
 
