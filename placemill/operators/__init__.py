@@ -11,15 +11,29 @@ from placemill.operators.filters import (
     not_sentinel,
     year_between,
 )
-from placemill.operators.geo import attach_place
+from placemill.operators.geo import PlaceIndex, attach_place, place_index
 from placemill.operators.incremental import only_new, restrict_to
-from placemill.operators.nested import explode_option, fill_nulls, map_columns
+from placemill.operators.keyfilter import maybe_among
+from placemill.operators.nested import (
+    explode_option,
+    fill_nulls,
+    map_columns,
+    map_keys,
+    open_map_columns,
+)
 from placemill.operators.profiling import null_counts, profile, value_counts
-from placemill.operators.rowindex import row_range, split_contiguous, with_row_index
+from placemill.operators.rowindex import (
+    keys_at_places,
+    row_pages,
+    row_range,
+    split_contiguous,
+    with_row_index,
+)
 from placemill.operators.spread import spread_join
 from placemill.operators.states import attach_state, parse_address
 
 __all__ = [
+    "PlaceIndex",
     "attach_place",
     "attach_state",
     "dedupe_column_names",
@@ -32,14 +46,20 @@ __all__ = [
     "has_category",
     "has_token",
     "in_states",
+    "keys_at_places",
     "map_columns",
+    "map_keys",
+    "maybe_among",
     "not_null",
     "not_sentinel",
     "null_counts",
     "only_new",
+    "open_map_columns",
     "parse_address",
+    "place_index",
     "profile",
     "restrict_to",
+    "row_pages",
     "row_range",
     "split_contiguous",
     "spread_join",

@@ -1,19 +1,25 @@
 """Nearest named place for coordinates.
 
 The gazetteer is turned into a grid index: per cell, the places that can be the
-nearest one for some point in the cell. A point then needs one equality lookup
-on its cell and never meets the rest of the gazetteer.
+nearest one for some point in the cell. A point then needs two equality lookups
+and never meets the rest of the gazetteer.
 
 Which places a cell keeps is exact. The points closer to one place than to
 another form a half of the sphere, so if all corners of a cell are closer to the
 one, the whole cell is, and the other cannot win there. Cells that keep many
 places are cut into four and indexed again, which keeps the lists short in dense
 areas.
+
+The cells that are not cut further are ranges of a space-filling curve that do not overlap,
+whatever their depth. The first lookup gives a point's outermost cell with the sorted
+starts of the ranges in it; a binary search among them gives the range, and the
+second lookup its places.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,9 +45,44 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     return F.asin(F.sqrt(F.least(chord, F.lit(1.0)))) * (2 * EARTH_KM)
 
 
+@dataclass(frozen=True)
+class PlaceIndex:
+    """A gazetteer made ready for lookups; made once, used for any number of points."""
+
+    #: (_row, _col, _starts): outermost cells and the ranges of the curve in each.
+    cells: DataFrame
+    #: (_row, _col, _start, _end, _places): the places of each range.
+    ranges: DataFrame
+    most_ranges: int  # in one cell
+    max_km: float
+    cell_deg: float
+
+
+def place_index(gazetteer: DataFrame, *, max_km: float = 50.0, cell_deg: float = 0.5) -> PlaceIndex:
+    """The index of ``gazetteer`` (city, state, latitude, longitude) for distances to ``max_km``."""
+    levels = _grid_index(gazetteer, max_km, cell_deg)
+    ranges = None
+    for level, index in enumerate(levels):
+        inner, size = (1 << level) - 1, 1 << 2 * (MAX_LEVEL - level)
+        code = _interleaved(F.col("_row").bitwiseAND(inner), F.col("_col").bitwiseAND(inner))
+        here = index.select(
+            F.shiftright("_row", level).alias("_row"),
+            F.shiftright("_col", level).alias("_col"),
+            (code * size).alias("_start"),
+            ((code + 1) * size).alias("_end"),
+            "_places",
+        )
+        ranges = here if ranges is None else ranges.unionAll(here)
+    ranges = cut_lineage(ranges)
+    cells = ranges.groupBy("_row", "_col").agg(F.array_sort(F.collect_list("_start")).alias("_starts"))
+    cells = cut_lineage(cells)
+    most = cells.agg(F.max(F.size("_starts"))).first()[0] or 1
+    return PlaceIndex(cells, ranges, most, max_km, cell_deg)
+
+
 def attach_place(
     df: DataFrame,
-    gazetteer: DataFrame,
+    gazetteer: DataFrame | PlaceIndex,
     *,
     max_km: float = 50.0,
     cell_deg: float = 0.5,
@@ -50,36 +91,66 @@ def attach_place(
     """Add the city and state of the nearest place within ``max_km``, or nulls.
 
     ``df`` has ``latitude`` and ``longitude``; ties go to the smaller (city,
-    state). A gazetteer within the broadcast bounds needs no shuffle of ``df``.
+    state). A gazetteer within the broadcast bounds needs no shuffle of ``df``. A
+    ``PlaceIndex`` brings its own ``max_km`` and ``cell_deg``.
     """
+    index = gazetteer
+    if not isinstance(index, PlaceIndex):
+        index = place_index(gazetteer, max_km=max_km, cell_deg=cell_deg)
     lat, lon = F.col("latitude"), F.col("longitude")
-    found = df
-    hits = []
-    for level, index in enumerate(_grid_index(gazetteer, max_km, cell_deg)):
-        size = cell_deg / 2**level
-        hit, row, col = f"_hit{level}", f"_row{level}", f"_col{level}"
-        hits.append(hit)
-        lookup = index.select(
-            F.col("_row").alias(row), F.col("_col").alias(col), F.col("_places").alias(hit)
-        )
-        located = found.withColumns({row: _row_of(lat, size), col: F.floor(_wrap(lon) / size)})
-        found = spread_join(located, broadcast_if_small(lookup), [row, col], "left").drop(row, col)
+    finest = index.cell_deg / 2**MAX_LEVEL
+    inner = (1 << MAX_LEVEL) - 1
+    row, col = _row_of(lat, finest), F.floor(_wrap(lon) / finest)
+    located = df.withColumns(
+        {
+            "_row": F.shiftright(row, MAX_LEVEL),
+            "_col": F.shiftright(col, MAX_LEVEL),
+            "_code": _interleaved(row.bitwiseAND(inner), col.bitwiseAND(inner)),
+        }
+    )
+    found = spread_join(located, broadcast_if_small(index.cells), ["_row", "_col"], "left")
+    start = F.get("_starts", _last_at_or_below(F.col("_starts"), F.col("_code"), index.most_ranges))
+    found = found.withColumn("_start", start).drop("_starts")
+    found = spread_join(found, broadcast_if_small(index.ranges), ["_row", "_col", "_start"], "left")
     ranked = F.transform(
-        F.coalesce(*hits),
+        F.when(F.col("_code") < F.col("_end"), F.col("_places")),
         lambda place: F.struct(
             haversine_km(lat, lon, place["latitude"], place["longitude"]).alias("km"),
             place["city"].alias("city"),
             place["state"].alias("state"),
         ),
     )
-    best = F.array_min(F.filter(ranked, lambda place: place["km"] <= max_km))
+    best = F.array_min(F.filter(ranked, lambda place: place["km"] <= index.max_km))
     return (
         found.withColumn("_best", best)
         .withColumns({out[0]: F.col("_best.city"), out[1]: F.col("_best.state")})
-        .drop("_best", *hits)
+        .drop("_best", "_row", "_col", "_code", "_start", "_end", "_places")
     )
 
 
+def _interleaved(row: Column, col: Column) -> Column:
+    """The bits of two numbers below 2**16 in turn: the place on a Z-order curve."""
+
+    def spread(value: Column) -> Column:
+        value = value.cast("long")
+        for shift, mask in ((8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555)):
+            value = value.bitwiseOR(F.shiftleft(value, shift)).bitwiseAND(F.lit(mask).cast("long"))
+        return value
+
+    return F.shiftleft(spread(row), 1).bitwiseOR(spread(col))
+
+
+def _last_at_or_below(values: Column, value: Column, most: int) -> Column:
+    """Index of the last of up to ``most`` ordered values at or below a value, or -1."""
+    steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(most.bit_length()))])
+
+    def halve(at: Column, step: Column) -> Column:
+        passed = (at + step < F.size(values)) & (F.get(values, at + step) <= value)
+        return F.when(passed, at + step).otherwise(at)
+
+    return F.aggregate(steps, F.lit(-1), halve)
+
+
 def _wrap(lon: Column) -> Column:
     """Longitude in [-180, 180)."""
     return F.pmod(lon + 180.0, F.lit(360.0)) - 180.0
@@ -110,7 +181,7 @@ def _grid_index(gazetteer: DataFrame, max_km: float, cell_deg: float) -> list[Da
         more = level < MAX_LEVEL and not dense.isEmpty()
         leaves = spread_join(kept, dense, ["_row", "_col"], "left_anti") if more else kept
         places = F.collect_list(F.struct("latitude", "longitude", "city", "state"))
-        levels.append(cut_lineage(leaves.groupBy("_row", "_col").agg(places.alias("_places"))))
+        levels.append(leaves.groupBy("_row", "_col").agg(places.alias("_places")))
         if not more:
             break
         halves = F.array(F.lit(0), F.lit(1))

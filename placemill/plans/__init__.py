@@ -11,7 +11,7 @@ from placemill.plans.catalogue import (
     top_user,
 )
 from placemill.plans.homicides import build_homicides
-from placemill.plans.locations import build_locations, build_state_dimension
+from placemill.plans.locations import build_locations, build_state_dimension, location_pages
 from placemill.plans.maps import (
     build_maps_business,
     build_maps_new_reviews,
@@ -20,6 +20,7 @@ from placemill.plans.maps import (
     build_maps_sites,
     build_maps_slim,
 )
+from placemill.plans.playtime import add_playtime, compact_playtime, kept_playtime
 from placemill.plans.recommend import cluster, recommend_locations, standardise
 from placemill.plans.yelp import (
     build_yelp_business,
@@ -30,6 +31,7 @@ from placemill.plans.yelp import (
 )
 
 __all__ = [
+    "add_playtime",
     "best_year",
     "build_homicides",
     "build_locations",
@@ -47,6 +49,9 @@ __all__ = [
     "build_yelp_users",
     "canonical_genre",
     "cluster",
+    "compact_playtime",
+    "kept_playtime",
+    "location_pages",
     "neighbours",
     "playtime_by_genre_year",
     "recommend_locations",

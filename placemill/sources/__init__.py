@@ -5,6 +5,7 @@ from placemill.sources.readers import (
     POSITION,
     read_delimited,
     read_json,
+    read_json_objects,
     read_many,
     read_parquet,
     with_position,
@@ -16,6 +17,7 @@ __all__ = [
     "parent_globs",
     "read_delimited",
     "read_json",
+    "read_json_objects",
     "read_many",
     "read_parquet",
     "with_position",

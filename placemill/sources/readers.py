@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StructType
 
 # Columns that together give the place of a row in its file.
 POSITION = ("source_file", "source_block", "source_seq")
@@ -26,12 +26,38 @@ def read_json(
 ) -> DataFrame:
     """Newline-delimited JSON, or one JSON array per file with ``array=True``.
 
-    An array file cannot be split among tasks; prefer the newline form.
+    An array file is read by one task; ``read_json_objects`` splits it where its objects
+    are parted by a fixed text.
     """
     reader = _reader(spark, glob).schema(schema).option("mode", mode)
     return reader.option("multiLine", array).json(path)
 
 
+def read_json_objects(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    *,
+    separator: str = "\n",
+    glob: str | None = None,
+) -> DataFrame:
+    """The objects of JSON-array files, each file read by as many tasks as it has splits.
+
+    ``separator`` is a text that stands in no object, such as the line break of arrays
+    with one or more whole objects a line. A piece between two separators that is not made of
+    whole objects is an error.
+    """
+    pieces = _reader(spark, glob).option("lineSep", separator).text(path)
+    piece = F.regexp_replace("value", r"^[\s\ufeff]*\[?[\s,]*|[\s,]*$", "")
+    # The closing bracket of the file may stand alone or after the last object.
+    whole = F.regexp_replace(piece, r"^\]$|(?<=\})\s*\]$", "")
+    objects = pieces.select(whole.alias("value")).where("value <> ''")
+    broken = F.raise_error(F.concat(F.lit("not a JSON object: "), F.left("value", F.lit(80))))
+    checked = F.when(F.col("value").startswith("{") & F.col("value").endswith("}"), F.col("value"))
+    array = F.concat(F.lit("["), F.coalesce(checked, broken), F.lit("]"))
+    return objects.select(F.inline(F.from_json(array, ArrayType(schema), {"mode": "FAILFAST"})))
+
+
 def read_delimited(
     spark: SparkSession,
     path: str,

@@ -12,6 +12,7 @@ from placemill.operators import (
     explode_option,
     fill_nulls,
     map_columns,
+    open_map_columns,
     parse_address,
 )
 from suite import inputs
@@ -316,6 +317,19 @@ def map_to_columns(t):
     return map_columns(events, "props", ["k", "absent"])
 
 
+@query(
+    "g3_found_keys",
+    with_ctes(
+        inputs.YELP_SQL,
+        body="""SELECT source_seq, has_tv AS "HasTV", take_out AS "RestaurantsTakeOut" FROM yelp""",
+    ),
+)
+def found_keys(t):
+    """Columns for all keys that the maps turn out to have."""
+    business = inputs.yelp_business(t).select("source_seq", "attributes")
+    return open_map_columns(business, "attributes")
+
+
 @query(
     "g4_reply_columns",
     with_ctes(

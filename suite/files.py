@@ -34,6 +34,14 @@ def json_array(t):
     return sources.read_json(t.spark, path, TURNS, array=True)
 
 
+@query("s2_split_array", TURNS_SQL)
+def split_array(t):
+    """The same array files, cut into objects by any number of tasks."""
+    path = scratch_path(t.spark, "s2s")
+    sinks.write_json_arrays(t.conversations, path)
+    return sources.read_json_objects(t.spark, path, TURNS)
+
+
 @query(
     "s3_semicolon_csv",
     with_ctes(inputs.STATES_SQL, body="SELECT nombre_largo, nombre_corto, codigos FROM states"),
@@ -149,6 +157,16 @@ def append_table(t):
     return t.spark.table(table)
 
 
+@query("k1_load_once", f"{BUSINESS_SQL} UNION ALL {inputs.BUSINESS_FROM_KEPT}")
+def load_once(t):
+    """Two loads, each run twice: the reruns add nothing."""
+    path = scratch_path(t.spark, "k1o")
+    business = _business(t)["business"]
+    for load_id in ("monday", "tuesday", "monday", "tuesday"):
+        sinks.load_once(business, path, S.BUSINESS, load_id)
+    return sinks.read_loads(t.spark, path, S.BUSINESS)
+
+
 @query("k2_connector_append", f"{BUSINESS_SQL} UNION ALL {inputs.BUSINESS_FROM_KEPT}")
 def connector_append(t):
     path = scratch_path(t.spark, "k2")

@@ -6,8 +6,11 @@ from pyspark.sql import functions as F
 
 from placemill.constants import SCALED_FEATURES
 from placemill.plans import (
+    add_playtime,
     best_year,
     canonical_genre,
+    compact_playtime,
+    kept_playtime,
     playtime_by_genre_year,
     recommend_locations,
     sentiment_counts,
@@ -17,6 +20,7 @@ from placemill.plans import (
     top_user,
 )
 from placemill.plans.recommend import CENTRE_COLUMNS, fit_clusters
+from placemill.runtime import scratch_path
 from suite import inputs
 from suite.inputs import with_ctes
 from suite.registry import query
@@ -65,6 +69,26 @@ def playtime(t):
     return playtime_by_genre_year(inputs.user_genre(t))
 
 
+@query(
+    "q1b_kept_playtime",
+    with_ctes(
+        inputs.USER_GENRE_SQL,
+        GENRE_YEAR_SQL,
+        body="SELECT genres, release_year::BIGINT AS release_year, playtime_forever FROM agg",
+    ),
+)
+def kept_playtime_of_batches(t):
+    """The facts arrive in four batches, one of them twice; two are put together in between."""
+    path = scratch_path(t.spark, "q1b")
+    facts = inputs.user_genre(t)
+    batch = F.pmod(F.xxhash64("user_id"), F.lit(4))
+    for number in (0, 1, 1, 2, 3):
+        add_playtime(facts.filter(batch == number), path, f"batch-{number}")
+        if number == 1:
+            compact_playtime(t.spark, path)
+    return kept_playtime(t.spark, path)
+
+
 TOP_USER_SQL = """sums AS (
   SELECT genres, user_id, release_year, sum(playtime)::BIGINT AS playtime_forever
   FROM user_genre GROUP BY ALL),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from placemill import plans, sinks, sources
 from placemill import schemas as S
 from placemill.operators import row_range
-from placemill.plans.maps import STAGED_NAMES
+from placemill.plans.maps import STAGED_NAMES, TABLE_NAMES
 from placemill.runtime import scratch_path
 from suite import inputs
 from suite.inputs import BUSINESS_FROM_KEPT, with_ctes
@@ -117,6 +117,57 @@ def maps_staged(t):
     return sources.read_parquet(t.spark, loaded)
 
 
+ALL_MAPS_ROWS = with_ctes(
+    *KEPT_SITES,
+    body=f"""SELECT 'business' AS name, business_id, concat_ws('|', name, city, state, price) AS value
+    FROM ({BUSINESS_FROM_KEPT})
+    UNION ALL SELECT 'category', gmap_id, unnest(category) FROM kept
+    UNION ALL SELECT 'service', gmap_id, unnest(service) FROM kept
+    UNION ALL SELECT 'planning', gmap_id, unnest(planning) FROM kept""",
+)
+
+
+def _rows(name, df, value):
+    return df.select(F.lit(name).alias("name"), "business_id", value.alias("value"))
+
+
+def _all_rows(business, category, service, planning):
+    """The four tables under one another."""
+    line = F.concat_ws("|", "name", "city", "state", "price")
+    return (
+        _rows("business", business, line)
+        .unionAll(_rows("category", category, F.col("category_name")))
+        .unionAll(_rows("service", service, F.col("service_option")))
+        .unionAll(_rows("planning", planning, F.col("planning_option")))
+    )
+
+
+@query("l3_maps_staged_tables", ALL_MAPS_ROWS)
+def maps_staged_tables(t):
+    """All four tables staged as CSV, then each loaded from its stage, once though run twice."""
+    staged, loaded = scratch_path(t.spark, "l3t-staged"), scratch_path(t.spark, "l3t-loaded")
+    tables = plans.build_maps_sites(_maps(t), names=STAGED_NAMES)
+    sinks.write_all(tables, lambda name, df: sinks.write_csv(df, f"{staged}/{name}"))
+    found = []
+    for name, target in zip(STAGED_NAMES, TABLE_NAMES, strict=True):
+        schema = S.OUTPUT_TABLES[target]
+        for _ in range(2):
+            rows = sources.read_many(
+                t.spark, f"{staged}/{name}", "csv", schema, glob="*.csv", with_file=False, header="true"
+            )
+            sinks.load_once(rows, f"{loaded}/{target}", schema, "first")
+        found.append(sinks.read_loads(t.spark, f"{loaded}/{target}", schema))
+    return _all_rows(*found)
+
+
+@query("k7_many_tables_rows", ALL_MAPS_ROWS)
+def many_tables_rows(t):
+    path = scratch_path(t.spark, "k7r")
+    tables = plans.build_maps_sites(_maps(t))
+    sinks.write_all(tables, lambda name, df: df.write.parquet(f"{path}/{name}"))
+    return _all_rows(*[sources.read_parquet(t.spark, f"{path}/{name}") for name in TABLE_NAMES])
+
+
 @query("l3b_maps_business_only", with_ctes(*KEPT_SITES, body=BUSINESS_FROM_KEPT))
 def maps_business_only(t):
     tables = plans.build_maps_business(_maps(t), mode="contains")
@@ -214,6 +265,20 @@ def yelp_attributes_placed(t):
     return plans.build_yelp_business_placed(business)["attributes_business"]
 
 
+@query(
+    "l5_yelp_categories_placed",
+    with_ctes(
+        inputs.YELP_SQL,
+        PLACED,
+        body="""SELECT business_id, trim(unnest(string_split(categories, ','))) AS category_name,
+      2::BIGINT AS platform FROM kept""",
+    ),
+)
+def yelp_categories_placed(t):
+    business = {"business": inputs.yelp_business(t)}
+    return plans.build_yelp_business_placed(business)["category_business"]
+
+
 MAPS_REVIEWS_RESULT = with_ctes(
     inputs.MAPS_REVIEWS_SQL,
     body="""SELECT business_id, user_id, date, stars, useful, funny, cool, text, platform
@@ -291,6 +356,19 @@ def new_maps_reviews(t):
     ]
 
 
+@query("l11_incremental_loads", MAPS_REVIEWS_RESULT)
+def incremental_loads(t):
+    """Three runs of the incremental load: a first part, everything, and everything again."""
+    path = scratch_path(t.spark, "l11")
+    reviews = inputs.maps_reviews(t)
+    for run, batch in enumerate([reviews.filter("rating <= 5"), reviews, reviews]):
+        target = sinks.read_loads(t.spark, path, S.REVIEWS)
+        tables = {"reviews": batch, "target": target}
+        new = plans.build_maps_new_reviews(tables)["reviews"]
+        sinks.load_once(new, path, S.REVIEWS, f"run-{run}")
+    return sinks.read_loads(t.spark, path, S.REVIEWS)
+
+
 @query(
     "l12_locations",
     with_ctes(
@@ -305,11 +383,9 @@ def locations(t):
     """All pages of the businesses, written one by one and read together."""
     path = scratch_path(t.spark, "l12")
     sides = {"business": inputs.points(t), "gazetteer": inputs.gazetteer(t)}
-    rows = sides["business"].count()
-    half = rows // 2
-    for run, page in enumerate([(0, half), (half, rows)]):
-        placed = plans.build_locations(sides, page=page, max_km=40)["business"]
-        sinks.write_csv(placed, path, run_id=str(run))
+    half = -(-sides["business"].count() // 2)
+    for run, tables in enumerate(plans.location_pages(sides, half, max_km=40)):
+        sinks.write_csv(tables["business"], path, run_id=str(run))
     schema = S.table(business_id=S.STR, latitude=S.DBL, longitude=S.DBL, ciudad=S.STR, estado=S.STR)
     return sources.read_many(
         t.spark, path, "csv", schema, glob="*.csv", with_file=False, header="true"
