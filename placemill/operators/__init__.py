@@ -29,6 +29,7 @@ from placemill.operators.rowindex import (
     split_contiguous,
     with_row_index,
 )
+from placemill.operators.similar import similarity_table
 from placemill.operators.spread import spread_join
 from placemill.operators.states import attach_state, parse_address
 
@@ -61,6 +62,7 @@ __all__ = [
     "restrict_to",
     "row_pages",
     "row_range",
+    "similarity_table",
     "split_contiguous",
     "spread_join",
     "value_counts",

@@ -22,6 +22,7 @@ from placemill.plans.maps import (
 )
 from placemill.plans.playtime import add_playtime, compact_playtime, kept_playtime
 from placemill.plans.recommend import cluster, recommend_locations, standardise
+from placemill.plans.rounds import cluster_rounds
 from placemill.plans.yelp import (
     build_yelp_business,
     build_yelp_business_placed,
@@ -49,6 +50,7 @@ __all__ = [
     "build_yelp_users",
     "canonical_genre",
     "cluster",
+    "cluster_rounds",
     "compact_playtime",
     "kept_playtime",
     "location_pages",

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from placemill.constants import SCALED_FEATURES
+from placemill.plans.rounds import cluster_rounds
 
 CENTRE_COLUMNS = ("latitude", "longitude", *SCALED_FEATURES)
 MAX_ITERATIONS = 300  # a bound only: iterations stop when the centres rest
@@ -73,15 +74,27 @@ def cluster(df: DataFrame, cols: Sequence[str], k: int = 5, seed: int = 42) -> D
 
 
 def recommend_locations(
-    features: DataFrame, state: str, category: str, k: int = 5, *, unscale: bool = False
+    features: DataFrame,
+    state: str,
+    category: str,
+    k: int = 5,
+    *,
+    unscale: bool = False,
+    rounds: int | None = None,
 ) -> DataFrame:
     """``k`` recommended locations for a state and a category.
 
     The scaled features of the matching places are clustered with their raw
-    coordinates. The result has the centres, in scaled units unless ``unscale``.
+    coordinates. The result has the centres, in scaled units unless ``unscale``. With
+    ``rounds`` the centres come from that many rounds at most of ``cluster_rounds``, which has one
+    possible result, instead of k-means with random seeds.
     """
     chosen = features.filter((F.col("state") == state) & (F.col("category_name") == category))
-    centres = cluster(standardise(chosen, SCALED_FEATURES), CENTRE_COLUMNS, k)
+    scaled = standardise(chosen, SCALED_FEATURES)
+    if rounds is None:
+        centres = cluster(scaled, CENTRE_COLUMNS, k)
+    else:
+        centres = cluster_rounds(scaled, CENTRE_COLUMNS, k, rounds=rounds).drop("size")
     if not unscale:
         return centres
     stats = column_stats(chosen, SCALED_FEATURES)

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from placemill.constants import SCALED_FEATURES
+from placemill.operators import similarity_table
 from placemill.plans import (
     add_playtime,
     best_year,
     canonical_genre,
+    cluster_rounds,
     compact_playtime,
     kept_playtime,
     playtime_by_genre_year,
@@ -245,3 +247,82 @@ def cluster_sizes(t):
 @query("q7_recommended_locations")
 def recommended_locations(t):
     return recommend_locations(inputs.location_features(t), "Texas", "BUILDING", unscale=True)
+
+
+def _rounds_sql(where: str, rounds: int, k: int = 5) -> list[str]:
+    """The clustering of ``placemill.plans.rounds`` as one common table after the other."""
+    xs = [f"x{at}" for at in range(len(CENTRE_COLUMNS))]
+    scaled = ", ".join(
+        c
+        if c not in SCALED_FEATURES
+        else f"({c} - avg({c}) OVER ()) / coalesce(nullif(stddev_pop({c}) OVER (), 0), 1) AS {c}"
+        for c in CENTRE_COLUMNS
+    )
+    grid = ", ".join(
+        f"floor({c} * 1000000 + 0.5::DOUBLE)::BIGINT AS {x}" for c, x in zip(CENTRE_COLUMNS, xs)
+    )
+    apart = " + ".join(f"(p.{x} - c.{x}) * (p.{x} - c.{x})" for x in xs)
+    columns = ", ".join(xs)
+    tables = [
+        f"scaled AS (SELECT {scaled} FROM features {where})",
+        f"points AS (SELECT {grid} FROM scaled)",
+        f"seed0 AS (SELECT 0 AS no, {columns} FROM points ORDER BY {columns} LIMIT 1)",
+    ]
+    for at in range(1, k):
+        so_far = " UNION ALL ".join(f"SELECT * FROM seed{n}" for n in range(at))
+        tables.append(
+            f"""seed{at} AS (SELECT {at} AS no, {columns} FROM (
+      SELECT p.*, (SELECT min({apart}) FROM ({so_far}) c) AS far FROM points p)
+      ORDER BY far DESC, {columns} LIMIT 1)"""
+        )
+    tables.append(
+        "centres0 AS (" + " UNION ALL ".join(f"SELECT *, 0 AS size FROM seed{n}" for n in range(k)) + ")"
+    )
+    for at in range(rounds):
+        means = ", ".join(f"coalesce(floor(s.{x}::DOUBLE / s.size)::BIGINT, c.{x}) AS {x}" for x in xs)
+        sums = ", ".join(f"sum({x})::BIGINT AS {x}" for x in xs)
+        tables.append(
+            f"""sums{at} AS (SELECT no, count(*) AS size, {sums} FROM (
+      SELECT p.*, (SELECT arg_min(c.no, ({apart}) * {k}::HUGEINT + c.no) FROM centres{at} c) AS no
+      FROM points p) GROUP BY no)"""
+        )
+        tables.append(
+            f"""centres{at + 1} AS (SELECT c.no, {means}, coalesce(s.size, 0) AS size
+      FROM centres{at} c LEFT JOIN sums{at} s ON c.no = s.no)"""
+        )
+    return tables
+
+
+def _centres_sql(rounds: int) -> str:
+    out = ", ".join(f"x{at}::DOUBLE / 1000000 AS {c}" for at, c in enumerate(CENTRE_COLUMNS))
+    return f"SELECT no AS cluster, {{size}}{out} FROM centres{rounds}"
+
+
+@query(
+    "m2_cluster_rounds",
+    with_ctes(
+        inputs.FEATURES_SQL, *_rounds_sql("", 4), body=_centres_sql(4).format(size="size, ")
+    ),
+)
+def cluster_of_rounds(t):
+    """Four rounds over all standardised rows."""
+    scaled = standardise(inputs.location_features(t), SCALED_FEATURES)
+    return cluster_rounds(scaled, CENTRE_COLUMNS, rounds=4)
+
+
+@query(
+    "q7_recommended_by_rounds",
+    with_ctes(
+        inputs.FEATURES_SQL,
+        *_rounds_sql("WHERE state = 'Texas' AND category_name = 'BUILDING'", 4),
+        body=_centres_sql(4).format(size=""),
+    ),
+)
+def recommended_by_rounds(t):
+    return recommend_locations(inputs.location_features(t), "Texas", "BUILDING", rounds=4)
+
+
+@query("s7_nearest_items")
+def nearest_items(t):
+    """The similarity table of all items, made from their vectors."""
+    return similarity_table(inputs.vectors(t), 5)
