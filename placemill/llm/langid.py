@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placemill.llm import words as W
-from placemill.llm.shared import free_name
+from placemill.llm.shared import free_name, stored
 
 UNKNOWN = "und"
 #: Bound of the sample of labelled documents a language; all words of the sample count.
@@ -219,7 +219,7 @@ def train(
     draw = F.pmod(F.xxhash64(F.lit("langid"), "id"), F.lit(1 << 20)) / float(1 << 20)
     chosen = rows.where(draw < table[F.col("lang")]).select("lang", "text")
     words = chosen.mapInArrow(_word_counts(character_classes()), "lang string, word string, n long")
-    words = words.groupBy("lang", "word").agg(F.sum("n").alias("n")).persist()
+    words = stored(words.groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
     found_rows = _commonest(words.withColumnRenamed("word", "item"), "w", WORDS_PER_LANGUAGE)
     for size in range(1, LONGEST_GRAM + 1):
         marked = F.col("word") if size == 1 else F.concat(F.lit("<"), "word", F.lit(">"))
@@ -229,7 +229,6 @@ def train(
         grams = grams.withColumn("item", F.substring("marked", F.col("at"), F.lit(size)))
         grams = grams.groupBy("lang", "item").agg(F.sum("n").alias("n"))
         found_rows += _commonest(grams, str(size), GRAMS_PER_LANGUAGE)
-    words.unpersist()
     return _model(found_rows)
 
 
