@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placemill.llm import words as W
-from placemill.llm.shared import free_name, stored
+from placemill.llm.shared import free_name, free_worker, stored
 
 UNKNOWN = "und"
 #: Bound of the sample of labelled documents a language; all words of the sample count.
@@ -177,6 +177,7 @@ def _word_counts(classes: np.ndarray):
     """Counts the words of batches (language, text), chunk by chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_worker()
         for batch in batches:
             for begin, end in W.pieces(batch.column(1), _TEXT_BYTES):
                 part = batch.slice(begin, end - begin)
@@ -275,6 +276,7 @@ def predicted(model: LanguageModel, docs: DataFrame, text: Column) -> Column:
     held = docs.sparkSession.sparkContext.broadcast(model.scorer())
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        free_worker()
         own = held.value
         for column in batches:
             langs, scores = [], [np.zeros(0)]

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from placemill.llm import words as W
 from placemill.llm.components import components
-from placemill.llm.shared import id_filter, shuffle_partitions, stored
+from placemill.llm.shared import free_worker, id_filter, shuffle_partitions, stored
 from placemill.operators.spread import spread_join
 from placemill.runtime import broadcast_if_small
 
@@ -100,6 +100,7 @@ def sketches(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
     """(doc, n_shingles, digest, signature, keys) for every row of ``docs`` (doc, text)."""
 
     def run(batches):
+        free_worker()
         for batch in batches:
             for begin, end in W.pieces(batch.column(1)):
                 part = batch.slice(begin, end - begin)

@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import sys
+import types
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +34,25 @@ def id_filter(ids: DataFrame, name: str) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
+def worker_memory() -> dict:
+    """A dictionary that lives as long as the Python process; tasks of a worker share it."""
+    return sys.modules.setdefault("_placemill_memory", types.SimpleNamespace(kept={})).kept
+
+
+def free_worker() -> None:
+    """Give back what tasks of earlier operators left in this Python process.
+
+    Workers are used again from job to job. Without this, the tokenizer and the words that
+    packing remembers stay beside whatever the next operator needs.
+    """
+    worker_memory().clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:  # GNU C library only
+        trim(0)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import hashlib
 import os
-import sys
-import types
 from collections.abc import Callable
 from importlib.metadata import version
 
@@ -15,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placemill.llm import words as W
-from placemill.llm.shared import free_name, stored
+from placemill.llm.shared import free_name, stored, worker_memory
 from placemill.operators.keyfilter import MAX_KEYS, maybe_among
 from placemill.operators.spread import spread_join
 from placemill.runtime import broadcast_if_small
@@ -29,11 +27,6 @@ _TWO_BYTES = 0x800  # code points of one or two bytes in UTF-8
 Encode = Callable[[pa.Array], list]
 
 
-def worker_memory() -> dict:
-    """A dictionary that lives as long as the Python process; tasks of a worker share it."""
-    return sys.modules.setdefault("_placemill_memory", types.SimpleNamespace(kept={})).kept
-
-
 def tokenizer_digest(path: str) -> str:
     """Digest of a tokenizer: its file and the version of the library that reads it."""
     name = "sentencepiece" if path.endswith(".model") else "tokenizers"
