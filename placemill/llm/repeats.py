@@ -37,7 +37,7 @@ from placemill.llm.shared import bucket_of, free_name, shuffle_partitions
 SAMPLE_ROWS = 1000
 #: Texts are dealt to buckets of about so many bytes, which tasks take one by one; at
 #: least 2 and at most 32 a shuffle partition.
-BUCKET_BYTES = 4 << 20
+BUCKET_BYTES = 1 << 20
 _LEAST_BUCKETS, _MOST_BUCKETS = 2, 32
 _NULL_ID, _NO_ID = -(1 << 63), (1 << 63) - 1
 _RECORDS = "part int, bucket int, high binary, low binary, least binary, span binary"
