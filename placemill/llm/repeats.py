@@ -1,22 +1,23 @@
-"""Substring deduplication with suffix trees that are split by variable-length prefixes.
+"""Substring deduplication by hashed windows, in groups by variable-length prefixes.
 
-Every word position begins a suffix. Two suffixes meet below a node of depth
-``window`` words exactly if they begin with the same ``window`` words; such deep
-inner nodes are the maximal repeats, and every word that they cover in a document
-with a larger id than the first one is removed.
+Every word position begins a window of ``window`` words. Windows with the same words are
+a repeat, and every word that one covers in a document with a larger id than the
+first is removed. No suffix tree is built: equal codes of windows stand for what would
+be a tree's node at that depth, and repeats that go on beyond it are not listed as one.
 
-1. Leaves go first. A window's least gram (its minimizer) is the same in all windows
+1. A window's least gram (its minimizer) is the same in all windows
    with the same words, so windows whose least gram is found in one document only
-   hang on a leaf of their own. Of the grams, one record for each bucket of documents
+   go first. Of the grams, one record for each bucket of documents
    and gram travels, with the smallest and largest id.
-2. The suffixes that are left are dealt to memory-sized groups by prefixes of one to
-   four words, longer where a prefix is frequent. A group sorts its suffixes: equal
-   neighbours, with ``window`` words in common, are the leaves below one deep node.
-   Again equal suffixes of a bucket travel as one, so a passage that stands in a third
+2. The windows that are left are dealt to groups by prefixes of one to
+   four words, longer where a prefix is frequent in a sample. A group sorts its records;
+   equal neighbours are the same window.
+   Equal windows of a bucket travel as one, so a passage that stands in a third
    of all documents is one record for each bucket.
-3. Each bucket reads the smallest id for its suffixes and drops the covered words.
+3. Each bucket reads the smallest id for its windows and drops the covered words.
 
-The texts are shuffled once; all three passes read that shuffle.
+The texts are shuffled once; all three passes read that shuffle. Buckets are sized by bytes
+of text; the number of groups is that of shuffle partitions.
 """
 
 from __future__ import annotations
