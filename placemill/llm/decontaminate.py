@@ -3,10 +3,12 @@
 1. The words of the benchmark items are the vocabulary. How many passages of the corpus
    hold each is counted over all documents; rare words weigh more (squared inverse
    document frequency), and words outside the vocabulary count nowhere.
+   The same pass counts in how many passages each two words stand together.
 2. Items are taken ``BLOCK`` at a time, fewer than the rank. For each block, a randomised
-   singular value decomposition of TF-IDF passages (its items and the passages of a bounded
-   sample of documents) gives a latent space. The products with the passage matrix are sums
-   over partitions; the driver sees vocabulary of the block x rank.
+   singular value decomposition of TF-IDF passages (its items and all passages of all
+   documents) gives a latent space. The products with the passage matrix are taken by the
+   table of words that stand together, as sums over its partitions; the driver sees
+   vocabulary of the block x rank.
 3. Every document is cut into overlapping passages. The product of a passage and an item
    is the weight of the item's words in the passage. It is taken in the latent space, and
    the lengths of what lies outside bound what the space loses. A passage is a candidate
@@ -27,7 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -39,11 +41,13 @@ STRIDE = 24
 RANK = 256
 OVERSAMPLE = 16
 ROUNDS = 2
-#: Documents, chosen by a hash, whose passages fit the latent space besides the items.
-SAMPLE_DOCS = 2000
+#: Pairs of words that are made at once, and words of a range of the table of pairs.
+_PAIRS, _RANGE = 1 << 20, 64
 ITEMS = 4000
 BLOCK = 200
-_AT_ONCE = 500
+_AT_ONCE = 64
+#: Words whose pairs have codes of 32 bits.
+_SMALL = 46_340
 #: Share of a bound that rounding may take.
 _SLACK = 0.999
 
@@ -138,100 +142,177 @@ def read_items(rows: list[tuple]) -> Items:
     return Items([rows[at][0] for at in has], codes, answers, vocabulary, places, distinct)
 
 
-def _statistics(docs: DataFrame, items: Items, sampled: Column) -> DataFrame:
-    """(word, passages): in how many passages a word of the vocabulary is; word -1 counts
-    all passages. Rows with word -2 hold the vocabulary words of a sampled passage."""
+class _Pairs:
+    """How often each two words stand together, by codes ``word * size + other``, in order."""
+
+    def __init__(self):
+        self.codes, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, codes: np.ndarray, counts: np.ndarray) -> None:
+        """``codes`` must be distinct and in order."""
+        if not len(self.codes):
+            self.codes, self.counts = codes, counts
+            return
+        at = np.searchsorted(self.codes, codes)
+        old = self.codes[np.minimum(at, len(self.codes) - 1)] == codes
+        self.counts[at[old]] += counts[old]
+        if not old.all():
+            self.codes = np.insert(self.codes, at[~old], codes[~old])
+            self.counts = np.insert(self.counts, at[~old], counts[~old])
+
+
+def _counted(codes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    codes = np.sort(np.concatenate(codes))
+    at = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]][: len(codes)])
+    return codes[at].astype(np.int64), np.diff(at, append=len(codes))
+
+
+def _pairs_of(row: np.ndarray, word: np.ndarray, size: int) -> Iterator[np.ndarray]:
+    """Codes of every two words of a row, each word with itself, too; rows and, in them,
+    words must be in order."""
+    word = word.astype(np.int64 if size > _SMALL else np.int32)  # half as wide, sorted twice as fast
+    n = np.cumsum(np.bincount(row))[row] - np.arange(len(row))
+    total = np.cumsum(n)
+    cuts = np.searchsorted(total, np.arange(_PAIRS, total[-1] if len(total) else 0, _PAIRS))
+    for some in np.split(np.arange(len(row)), np.unique(cuts)):
+        if len(some):
+            many = n[some]
+            shift = np.repeat(some - (np.cumsum(many) - many), many)
+            yield np.repeat(word[some] * word.dtype.type(size), many) + word[shift + np.arange(len(shift))]
+
+
+def _together(docs: DataFrame, items: Items) -> DataFrame:
+    """(range, codes, n): in how many of all passages each two words of the vocabulary are,
+    a word and itself, too. Code -1 counts all passages. One row for each range of words."""
+    size = len(items.vocabulary)
+
+    def table(pairs: _Pairs) -> pa.RecordBatch:
+        part = np.maximum(pairs.codes, 0) // (size * _RANGE)
+        first = np.flatnonzero(np.r_[True, part[1:] != part[:-1]][: len(part)])
+        cuts = list(zip(first, [*first[1:], len(part)], strict=True))
+        columns = [
+            pa.array(part[first], pa.int32()),
+            # small differences, which Spark's codec shrinks
+            pa.array([np.diff(pairs.codes[a:b], prepend=0).tobytes() for a, b in cuts], pa.binary()),
+            pa.array([pairs.counts[a:b].tobytes() for a, b in cuts], pa.binary()),
+        ]
+        return pa.record_batch(columns, ["range", "codes", "n"])
 
     def run(batches):
-        counts, total = np.zeros(len(items.vocabulary), np.int64), 0
+        pairs, total, waiting = _Pairs(), 0, []
         for batch in batches:
             for a, b in W.pieces(batch.column(0)):
-                part = batch.slice(a, b - a)
-                found = _found(part.column(0))
-                begin, end, text = passages(found.first)
+                found = _found(batch.column(0).slice(a, b - a))
+                begin, end, _ = passages(found.first)
                 total += len(begin)
                 at = _place(found.codes, items.vocabulary)
-                size = end - begin
-                row = np.repeat(np.arange(len(begin)), size)
-                word = at[np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(len(row))]
-                row, word = row[word >= 0], word[word >= 0]
-                key = np.unique(row * np.int64(len(counts) or 1) + word)
-                counts += np.bincount(key % max(len(counts), 1), minlength=len(counts))
-                pick = np.flatnonzero(part.column(1).to_numpy(zero_copy_only=False)[text])
-                cuts = zip(np.searchsorted(row, pick), np.searchsorted(row, pick + 1), strict=True)
-                chosen = [word[a:b].astype(np.int32).tobytes() for a, b in cuts]
-                if chosen:
-                    yield _rows([-2] * len(chosen), [0] * len(chosen), chosen)
-        seen = np.flatnonzero(counts)
-        yield _rows([-1, *seen], [total, *counts[seen]], [None] * (len(seen) + 1))
+                known, before = np.flatnonzero(at >= 0), np.r_[0, np.cumsum(at >= 0)]
+                begin, end = before[begin], before[end]
+                length = end - begin
+                row = np.repeat(np.arange(len(begin)), length)
+                word = np.repeat(begin - (np.cumsum(length) - length), length) + np.arange(len(row))
+                key = row * np.int64(size) + at[known[word]]
+                key.sort()
+                key = key[np.flatnonzero(np.diff(key, prepend=-1))]
+                for codes in _pairs_of(key // size, key % size, size):
+                    waiting.append(codes)
+                    if sum(map(len, waiting)) >= 4 * _PAIRS:
+                        pairs.add(*_counted(waiting))
+                        waiting = []
+        if waiting:
+            pairs.add(*_counted(waiting))
+        pairs.add(np.array([-1]), np.array([total]))
+        yield table(pairs)
+
+    def merged(batches):
+        sums: dict[int, _Pairs] = {}
+        for batch in batches:
+            for part, codes, n in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                own = sums.setdefault(part, _Pairs())
+                own.add(np.cumsum(np.frombuffer(codes, np.int64)), np.frombuffer(n, np.int64).copy())
+        for part in sorted(sums):
+            yield table(sums[part])
+
+    schema = "range int, codes binary, n binary"
+    ranges = max(1, -(-size // _RANGE))
+    found = docs.select("text").mapInArrow(run, schema)
+    return found.repartition(ranges, "range").mapInArrow(merged, schema)
+
 
-    source = docs.select("text", sampled.alias("pick"))
-    return source.mapInArrow(run, "word int, n long, words binary")
+def _totals(together: DataFrame, size: int) -> dict[int, int]:
+    """In how many passages each word is; -1: all passages."""
 
+    def run(batches):
+        for batch in batches:
+            for data, n in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                codes, counts = np.cumsum(np.frombuffer(data, np.int64)), np.frombuffer(n, np.int64)
+                own = (codes < 0) | (codes // size == codes % size)
+                word = np.where(codes[own] < 0, -1, codes[own] // size)
+                yield pa.record_batch([pa.array(word), pa.array(counts[own])], ["word", "n"])
 
-def _rows(word, n, words) -> pa.RecordBatch:
-    columns = [pa.array(word, pa.int32()), pa.array(n, pa.int64()), pa.array(words, pa.binary())]
-    return pa.record_batch(columns, ["word", "n", "words"])
+    return {row["word"]: row["n"] for row in together.mapInArrow(run, "word long, n long").collect()}
 
 
-def _product(sample: DataFrame, root: np.ndarray, local: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """AᵀA ``right`` for the passage matrix A of the sample, summed over partitions."""
+def _product(together: DataFrame, root: np.ndarray, local: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """AᵀA ``right`` for the matrix A of all passages, summed over partitions."""
 
-    held = sample.sparkSession.sparkContext.broadcast((root, local, right.astype(np.float32)))
+    held = together.sparkSession.sparkContext.broadcast((root, local, right.astype(np.float32)))
     shape = right.shape
 
     def run(batches):
         root, local, right = held.value
-        total = np.zeros(shape)
+        size, total = len(root), np.zeros(shape)
         for batch in batches:
-            for data in batch.column(0).to_pylist():
-                words = np.frombuffer(data, np.int32)
-                words, times = np.unique(words[local[words] >= 0], return_counts=True)
-                if len(words):
-                    row = root[words] * times
-                    row /= np.linalg.norm(row) or 1.0
-                    words = local[words]
-                    total[words] += np.outer(row, row @ right[words])
+            for data, n in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                codes, counts = np.cumsum(np.frombuffer(data, np.int64)), np.frombuffer(n, np.int64)
+                codes, counts = codes[codes >= 0], counts[codes >= 0]
+                one, other = codes // size, codes % size
+                inside = (local[one] >= 0) & (local[other] >= 0)
+                one, other = one[inside], other[inside]
+                if not len(one):
+                    continue
+                words, row = np.unique(local[one], return_inverse=True)
+                dense = np.zeros((len(words), shape[0]), np.float32)
+                dense[row, local[other]] = counts[inside] * root[one] * root[other]
+                total[words] += dense @ right
+                dense[np.arange(len(words)), words] = 0
+                total += dense.T @ right[words]
         yield pa.record_batch([pa.array([total.tobytes()], pa.binary())], ["sums"])
 
-    parts = sample.mapInArrow(run, "sums binary").toLocalIterator()
+    parts = together.mapInArrow(run, "sums binary").toLocalIterator()
     total = sum((np.frombuffer(row[0]).reshape(shape) for row in parts), np.zeros(shape))
     held.destroy()
     return total
 
 
-def fit_latent(docs: DataFrame, items: Items, rows: int, *, id_column: str) -> Items:
-    """Weights from all documents and the latent spaces, added to ``items``."""
-    share = min(1.0, SAMPLE_DOCS / max(rows, 1))
-    draw = F.pmod(F.xxhash64(F.lit("svd"), F.col(id_column)), F.lit(1 << 20)) / float(1 << 20)
-    counted = stored(_statistics(docs, items, draw < share), "passages")
-    sums = counted.where("word >= -1").groupBy("word").agg(F.sum("n").alias("n")).collect()
-    found = {row["word"]: row["n"] for row in sums}
+def fit_latent(docs: DataFrame, items: Items) -> Items:
+    """Weights and latent spaces from all passages of all documents, added to ``items``."""
+    together = stored(_together(docs, items), "together").coalesce(8)
+    found = _totals(together, len(items.vocabulary))
     total = found.pop(-1, 0)
     seen = np.zeros(len(items.vocabulary))
     seen[list(found)] = list(found.values())
     items.idf = np.log((total + 2) / (np.minimum(seen, total) + 1)) ** 2
-    sample = counted.where("word = -2").select("words").coalesce(8)
-    sampled = sample.count()
     every = np.arange(len(items.codes))
     cuts = np.arange(BLOCK, len(every), BLOCK)
-    items.spaces = [_space(sample, sampled, items, some) for some in np.split(every, cuts)]
+    items.spaces = [_space(together, seen, items, some) for some in np.split(every, cuts)]
     return items
 
 
-def _space(sample: DataFrame, sampled: int, items: Items, some: np.ndarray) -> Space:
+def _space(together: DataFrame, seen: np.ndarray, items: Items, some: np.ndarray) -> Space:
     words = np.unique(np.concatenate([items.places[one] for one in some]))
     local = np.full(len(items.vocabulary) + 1, -1)
     local[words] = np.arange(len(words))
     root = items.idf**0.5
     own = items.matrix(some, local, len(words))
-    # the items outweigh the sample, or their rare words would be the first to be lost
+    # the items outweigh the passages, or their rare words would be the first to be lost
     length = np.maximum(np.linalg.norm(own, axis=1, keepdims=True), 1e-12)
-    weighted = own / length * 4 * max(1.0, sampled / len(own)) ** 0.5
+    energy = float(seen[words] @ items.idf[words])
+    weighted = own / length * 4 * max(1.0, energy / len(own)) ** 0.5
     right = np.random.default_rng(11).standard_normal((len(words), min(RANK + OVERSAMPLE, len(words))))
 
     def product(right):
-        return _product(sample, root, local, right) + weighted.T @ (weighted @ right)
+        return _product(together, root, local, right) + weighted.T @ (weighted @ right)
 
     for _ in range(ROUNDS + 1):
         right, _ = np.linalg.qr(product(right))
@@ -356,16 +437,15 @@ def _confirmed(found, at, items, one, begin, end, text, limits):
     return best
 
 
-def _fitted(docs, benchmark, id_column, text_column, item_column, item_text) -> Iterator[Items]:
-    source = docs.select(F.col(id_column), F.col(text_column).alias("text"))
-    rows = source.count()
+def _fitted(docs, benchmark, text_column, item_column, item_text) -> Iterator[Items]:
+    source = docs.select(F.col(text_column).alias("text"))
     keyed = benchmark.select(F.col(item_column).alias("i"), F.col(item_text).alias("t"))
     blocks = -(-keyed.count() // ITEMS)
     for block in range(blocks):
         mine = keyed.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == block)
         items = read_items([tuple(row) for row in mine.collect()])
         if items.ids:
-            yield fit_latent(source, items, rows, id_column=id_column)
+            yield fit_latent(source, items)
 
 
 def find_leaks(
@@ -395,7 +475,7 @@ def find_leaks(
     schema += "cosine double, covered double, answered double, first_word long, end_word long"
     source = docs.select(F.col(id_column), F.col(text_column))
     done = docs.sparkSession.createDataFrame([], schema)
-    for items in _fitted(docs, benchmark, id_column, text_column, item_column, item_text):
+    for items in _fitted(docs, benchmark, text_column, item_column, item_text):
         held = docs.sparkSession.sparkContext.broadcast(items)
 
         done = done.unionAll(source.mapInArrow(_reporter(held, limits, names, kinds[1]), schema))
@@ -432,7 +512,8 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, *, limits: Limits | Non
     limits = limits or Limits()
     names = {"id_column": "doc_id", "text_column": "text", "item_column": "item_id", "item_text": "text"}
     names |= columns
-    for items in _fitted(docs, benchmark, *names.values()):
+    chosen = [names[one] for one in ("text_column", "item_column", "item_text")]
+    for items in _fitted(docs, benchmark, *chosen):
         held = docs.sparkSession.sparkContext.broadcast(items)
 
         docs = docs.where(~_tester(held, limits)(F.col(names["text_column"])))

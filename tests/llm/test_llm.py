@@ -433,6 +433,36 @@ def test_leaks_of_more_items_than_dimensions(spark):
     assert len(want) >= 380 and got == want
 
 
+def test_the_latent_space_is_fitted_to_all_passages(spark, monkeypatch):
+    """Words that stand together in some 4,000 documents, of up to 90 words: all count."""
+    monkeypatch.setattr(decontaminate, "RANK", 6)
+    monkeypatch.setattr(decontaminate, "ROUNDS", 12)
+    monkeypatch.setattr(decontaminate, "_PAIRS", 100, raising=False)
+    draw = random.Random(8)
+    texts = [" ".join(f"v{draw.randrange(60)}" for _ in range(draw.randrange(90))) for _ in range(4000)]
+    texts += ["v1 v2 v3 v4"] * 300 + [None, ""]
+    items = decontaminate.read_items([(0, " ".join(f"v{at}" for at in range(60)))])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    benchmark = spark.createDataFrame([(0, " ".join(f"v{at}" for at in range(60)))], "i long, t string")
+    (fitted,) = decontaminate._fitted(docs, benchmark, "text", "i", "t")
+    column = pa.array(texts, pa.string())
+    found = decontaminate._found(column)
+    begin, end, _ = decontaminate.passages(found.first)
+    held = np.zeros((len(begin), 60))
+    for row, a, b in zip(held, begin, end, strict=True):
+        row[decontaminate._place(found.codes[a:b], items.vocabulary)] = 1
+    assert np.allclose(fitted.idf, np.log((len(held) + 2) / (held.sum(axis=0) + 1)) ** 2)
+    root = fitted.idf**0.5
+    own = fitted.matrix(np.array([0]), np.arange(61), 60)
+    own *= 4 * np.sqrt((held * root).ravel() @ (held * root).ravel()) / np.linalg.norm(own)
+    rows = np.concatenate([held * root, own])
+    _, vectors = np.linalg.eigh(rows.T @ rows)
+    basis = fitted.spaces[0].basis / root[:, None]
+    # the best rank-6 space holds as much of the passages as the one that was fitted
+    best, got = (np.square(rows @ side).sum() for side in (vectors[:, -6:], basis))
+    assert abs(np.linalg.norm(basis) - 6**0.5) < 1e-3 and got >= best * (1 - 1e-5)
+
+
 def test_leaks_of_common_words_in_a_large_corpus(spark):
     """Short items of words that keep their frequency, between words found nowhere else."""
     draw = random.Random(6)
