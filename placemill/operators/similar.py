@@ -2,9 +2,11 @@
 
 Equal vectors are one class. Classes are put into inverted lists, one for each
 coarse centre, and every class looks for its neighbours in the lists of the centres
-nearest to it; cosines there are exact. Lists are cut into blocks of bounded size
-on both sides, points and searchers, so a list that holds a third of all classes is
-many tasks. Only the best of each block travel on.
+nearest to it; cosines there are exact. The lists, one after the other, are cut into
+blocks of equal size, and so are the searchers. A task compares one block of either kind,
+list by list, so a vector travels once for each block that it meets, however many lists
+are searched there, and a list that holds a third of all classes is many tasks. Only the
+best of each block travel on.
 
 The centres come from a bounded sample; every vector is indexed and searched for. The
 same sample tells how many lists must be searched for the recall that is wanted: vectors
@@ -29,11 +31,13 @@ ROUNDS = 8
 MAX_LISTS = 4096
 #: Vectors of the sample whose neighbours tell how many lists to search.
 TUNED_VECTORS = 500
-#: Rows of a block of points or of searchers.
-BLOCK_ROWS = 4096
+#: Blocks of points and of searchers, and the most rows of a block: beyond, there are more.
+BLOCKS = 8
+BLOCK_ROWS = 1 << 17
+#: Cosines that a task holds at once.
+_AT_ONCE = 1 << 22
 
-_CLASSES = "class binary, vector binary"
-_LISTED = "class binary, vector binary, home int, probes array<int>"
+_MET = "a int, b int, point boolean, class binary, vector binary, lists binary"
 
 
 def similarity_table(
@@ -66,8 +70,7 @@ def similarity_table(
     sample = _sample(classes, count)
     centres = _centres(sample, lists)
     probes = min(probes or _probes_for(sample, centres, k, recall), lists)
-    listed = cut_lineage(_listed(classes, centres, probes))
-    near = _neighbours(listed, k)
+    near = _neighbours(classes, centres, probes, k, count)
     own = members.select("id", "class")
 
     # Of a class with many members only the k + 1 smallest ids can be among anybody's best.
@@ -109,7 +112,7 @@ def _members(vectors: DataFrame, id_column: str, vector_column: str, kind: str)
         F.col(id_column).alias("id"), F.col(vector_column).cast("array<double>").alias("vector")
     )
     unit = chosen.mapInArrow(run, f"id {kind}, vector binary")
-    return unit.select("id", F.unhex(F.sha2("vector", 256)).alias("class"), "vector")
+    return unit.select("id", F.substring(F.unhex(F.sha2("vector", 256)), 1, 16).alias("class"), "vector")
 
 
 def _sample(classes: DataFrame, count: int) -> np.ndarray:
@@ -154,88 +157,141 @@ def _probes_for(sample: np.ndarray, centres: np.ndarray, k: int, recall: float)
     return int(needed[min(len(needed) - 1, math.ceil(recall * len(needed)) - 1)])
 
 
-def _listed(classes: DataFrame, centres: np.ndarray, probes: int) -> DataFrame:
-    """Each class with its own list and the lists that it searches."""
+def _nearest(batch: pa.RecordBatch, centres: np.ndarray, many: int):
+    """Names of the classes, and the ``many`` nearest lists of each, its own first."""
+    names, data = (column.to_pylist() for column in batch.columns)
+    cosines = np.frombuffer(b"".join(data)).reshape(len(data), -1) @ centres.T
+    return names, np.argsort(-cosines, axis=1, kind="stable")[:, :many]
 
-    def run(batches):
-        for batch in batches:
-            data = batch.column(1).to_pylist()
-            if not data:
-                continue
-            cosines = np.frombuffer(b"".join(data)).reshape(len(data), -1) @ centres.T
-            near = np.argsort(-cosines, axis=1, kind="stable")[:, :probes].astype(np.int32)
-            lists = pa.ListArray.from_arrays(
-                np.arange(0, near.size + 1, near.shape[1], dtype=np.int32), pa.array(near.ravel())
-            )
-            yield pa.record_batch(
-                [*batch.columns, pa.array(near[:, 0]), lists], ["class", "vector", "home", "probes"]
-            )
 
-    return classes.select("class", "vector").mapInArrow(run, _LISTED)
+def _shares(names: list[bytes]) -> np.ndarray:
+    """A number of each class from its digest, evenly spread."""
+    return np.frombuffer(b"".join(name[:8] for name in names), "<u8")
 
 
-def _neighbours(listed: DataFrame, k: int) -> DataFrame:
-    """(class, other, sim): the best ``k + 1`` other classes of each, over all its lists."""
+def _list_sizes(classes: DataFrame, centres: np.ndarray) -> np.ndarray:
+    """How many classes are at home in each list; the driver sees a number a list."""
 
-    def blocks(sizes) -> dict[int, int]:
-        return {row["list"]: -(-row["n"] // BLOCK_ROWS) for row in sizes.collect()}  # one a list
-
-    n = F.count(F.lit(1)).alias("n")
-    of_points = blocks(listed.groupBy(F.col("home").alias("list")).agg(n))
-    of_searchers = blocks(listed.select(F.explode("probes").alias("list")).groupBy("list").agg(n))
-    session = listed.sparkSession
-    cuts = [(one, of_points[one], of_searchers.get(one, 0)) for one in sorted(of_points)]
-    cuts = F.broadcast(session.createDataFrame(cuts, "list int, point_cuts int, searcher_cuts int"))
-
-    def dealt(rows: DataFrame, mine: str, every: str, role: bool) -> DataFrame:
-        """Rows in one block of their own kind, met with every block of the other kind."""
-        own = F.pmod(F.xxhash64("class", F.lit(role)), F.col(mine)).cast("int")
-        rows = rows.join(cuts, "list").where(F.col(every) > 0)
-        rows = rows.withColumn("own", own).withColumn(
-            "met", F.explode(F.sequence(F.lit(0), F.col(every) - 1))
-        )
-        block = F.struct("own", "met") if role else F.struct("met", "own")
-        return rows.select("list", block.alias("block"), F.lit(role).alias("point"), "class", "vector")
+    def run(batches):
+        for batch in batches:
+            if len(batch):
+                home, n = np.unique(_nearest(batch, centres, 1)[1], return_counts=True)
+                yield pa.record_batch([pa.array(home, pa.int32()), pa.array(n)], ["list", "n"])
+
+    counted = classes.select("class", "vector").mapInArrow(run, "list int, n long")
+    sizes = np.zeros(len(centres), np.int64)
+    for row in counted.groupBy("list").agg(F.sum("n").alias("n")).collect():
+        sizes[row["list"]] = row["n"]
+    return sizes
+
+
+def _blocks(classes: DataFrame, centres: np.ndarray, probes: int, count: int) -> DataFrame:
+    """Points, in the block of their place in the lists, met with every block of searchers;
+    searchers, in a block of their own, met with the blocks of the lists that they search."""
+    sizes = _list_sizes(classes, centres)
+    blocks = max(BLOCKS, -(-count // BLOCK_ROWS))
+    rows = max(1, -(-count // blocks))
+    order = np.argsort(-(centres @ centres[0]), kind="stable") if len(centres) else sizes
+    offsets = np.zeros(len(sizes), np.int64)
+    offsets[order] = np.cumsum(sizes[order]) - sizes[order]
+    first = np.minimum(offsets // rows, blocks - 1)
+    last = np.minimum((offsets + np.maximum(sizes, 1) - 1) // rows, blocks - 1)
+    # which lists are, in part at least, in which blocks
+    holds = (first[:, None] <= np.arange(blocks)) & (np.arange(blocks) <= last[:, None])
+    holds &= (sizes > 0)[:, None]
 
-    points = listed.select(F.col("home").alias("list"), "class", "vector")
-    searchers = listed.select(F.explode("probes").alias("list"), "class", "vector")
-    met = dealt(points, "point_cuts", "searcher_cuts", True).select(
-        "list", F.col("block.own").alias("a"), F.col("block.met").alias("b"), "point", "class", "vector"
-    )
-    met = met.unionByName(
-        dealt(searchers, "searcher_cuts", "point_cuts", False).select(
-            "list", F.col("block.met").alias("a"), F.col("block.own").alias("b"), "point", "class", "vector"
-        )
-    )
+    def run(batches):
+        for batch in batches:
+            for start in range(0, len(batch), 1024):
+                part = batch.slice(start, 1024)
+                names, near = _nearest(part, centres, probes)
+                share, home = _shares(names), near[:, 0]
+                place = offsets[home] + (share % np.maximum(sizes[home], 1).astype("<u8")).astype(int)
+                mine = np.minimum(place // rows, blocks - 1)
+                own = (share >> np.uint64(32)) % np.uint64(blocks)
+                out: list[tuple] = []
+                for at in range(len(names)):
+                    name = home[at : at + 1].astype(np.uint16).tobytes()
+                    out += [(mine[at], other, True, at, name) for other in range(blocks)]
+                    met = holds[near[at]]
+                    for block in np.flatnonzero(met.any(axis=0)).tolist():
+                        searched = near[at][met[:, block]].astype(np.uint16)
+                        out.append((block, own[at], False, at, searched.tobytes()))
+                a, b, point, at, lists = zip(*out, strict=True)
+                rows_of = part.take(pa.array(at, pa.int64()))
+                columns = [pa.array(np.array(a), pa.int32()), pa.array(np.array(b, int), pa.int32())]
+                columns += [pa.array(point), *rows_of.columns, pa.array(lists, pa.binary())]
+                yield pa.record_batch(columns, ["a", "b", "point", "class", "vector", "lists"])
+
+    return classes.select("class", "vector").mapInArrow(run, _MET)
+
+
+def _best_of(cosines: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of the best ``k + 1`` of each row and of all that tie with the last
+    place, so that the smaller ids can be told later."""
+    width = min(k + 1, cosines.shape[1])
+    top = np.argpartition(-cosines, width - 1, axis=1)[:, :width]
+    least = np.take_along_axis(cosines, top, 1).min(axis=1)
+    return np.nonzero((cosines >= least[:, None]) & np.isfinite(cosines))
+
+
+def _neighbours(classes: DataFrame, centres: np.ndarray, probes: int, k: int, count: int) -> DataFrame:
+    """(class, other, sim): the best ``k + 1`` other classes of each, over all its lists."""
 
     def best(table: pa.Table) -> pa.Table:
         point = table.column("point").to_numpy()
         names = np.array(table.column("class").to_pylist(), object)
+        number = np.unique(names, return_inverse=True)[1]
         data = table.column("vector").to_pylist()
         matrix = np.frombuffer(b"".join(data)).reshape(len(data), -1)
-        here, there = np.flatnonzero(point), np.flatnonzero(~point)
-        here = here[np.argsort(names[here], kind="stable")]
-        out: list[tuple] = []
-        for some in np.array_split(there, len(there) // 1024 + 1):
-            if not len(some) or not len(here):
+        own = [np.frombuffer(one, np.uint16) for one in table.column("lists").to_pylist()]
+        size = np.array([len(one) for one in own], int)
+        row, lists = np.repeat(np.arange(len(own)), size), np.concatenate(own)
+        order = np.argsort(lists, kind="stable")
+        row, lists = row[order], lists[order]
+        cuts = np.flatnonzero(lists[1:] != lists[:-1]) + 1
+        found: list[tuple] = []
+        kept = [np.zeros(0, int), np.zeros(0, int), np.zeros(0)]
+        waiting = 0
+        for rows in np.split(row, cuts):
+            here, there = rows[point[rows]], rows[~point[rows]]
+            if not len(here) or not len(there):
                 continue
-            cosines = matrix[some] @ matrix[here].T
-            cosines[names[some][:, None] == names[here][None, :]] = -np.inf
-            width = min(k + 1, len(here))
-            top = np.argpartition(-cosines, width - 1, axis=1)[:, :width]
-            least = np.take_along_axis(cosines, top, 1).min(axis=1)
-            # All that tie with the last place, so that the smaller ids can be told later.
-            row, column = np.nonzero((cosines >= least[:, None]) & np.isfinite(cosines))
-            out.append((some[row], here[column], cosines[row, column]))
-        a, b, sim = (np.concatenate(side) for side in zip(*out, strict=True)) if out else ([], [], [])
+            here = here[np.argsort(number[here], kind="stable")]
+            for some in np.array_split(there, len(there) * len(here) // _AT_ONCE + 1):
+                if not len(some):
+                    continue
+                cosines = matrix[some] @ matrix[here].T
+                cosines[number[some][:, None] == number[here][None, :]] = -np.inf
+                left, right = _best_of(cosines, k)
+                found.append((some[left], here[right], cosines[left, right]))
+                waiting += len(left)
+            if waiting > _AT_ONCE:
+                kept, found, waiting = _merged([kept, *found], k), [], 0
+        a, b, sim = _merged([kept, *found], k)
         return pa.table(
             {
-                "class": pa.array(names[np.array(a, int)].tolist(), pa.binary()),
-                "other": pa.array(names[np.array(b, int)].tolist(), pa.binary()),
-                "sim": pa.array(np.clip(np.array(sim, float), -1.0, 1.0)),
+                "class": pa.array(names[a].tolist(), pa.binary()),
+                "other": pa.array(names[b].tolist(), pa.binary()),
+                "sim": pa.array(np.clip(sim, -1.0, 1.0)),
             }
         )
 
-    scored = met.groupBy("list", "a", "b").applyInArrow(best, "class binary, other binary, sim double")
+    met = _blocks(classes, centres, probes, count)
+    scored = met.groupBy("a", "b").applyInArrow(best, "class binary, other binary, sim double")
     rank = F.rank().over(Window.partitionBy("class").orderBy(F.desc("sim")))
     return scored.withColumn("place", rank).where(F.col("place") <= k + 1).drop("place")
+
+
+def _merged(found: list, k: int) -> list[np.ndarray]:
+    """Of (searcher, point, cosine), those with fewer than ``k + 1`` better ones."""
+    a, b, sim = (np.concatenate(side) for side in zip(*found, strict=True))
+    order = np.lexsort((b, -sim, a))
+    a, b, sim = a[order], b[order], sim[order]
+    if len(a):
+        start = np.flatnonzero(np.r_[True, a[1:] != a[:-1]])
+        n = np.diff(start, append=len(a))
+        limit = sim[start + np.minimum(k, n - 1)]
+        keep = sim >= np.repeat(limit, n)
+        a, b, sim = a[keep], b[keep], sim[keep]
+    return [a, b, sim]

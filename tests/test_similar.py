@@ -73,6 +73,20 @@ def test_all_lists_give_the_exact_table(spark, monkeypatch, block):
         assert [j for j, _ in got[key]] == [j for j, _ in want[key]], key
 
 
+def test_a_vector_travels_no_oftener_in_a_larger_table(spark):
+    """Vectors without structure, all lists searched: a row for each block on either side."""
+    draw = np.random.default_rng(9)
+    for count in (300, 2400):
+        rows = [(at, [float(x) for x in one]) for at, one in enumerate(draw.standard_normal((count, 6)))]
+        df = spark.createDataFrame(rows, "idx long, embedding array<double>")
+        members = similar._members(df, "idx", "embedding", "bigint").select("class", "vector")
+        centres = similar._centres(similar._sample(members, count), math.ceil(count**0.5))
+        met = similar._blocks(members, centres, len(centres), count)
+        assert met.count() <= 2 * similar.BLOCKS * count
+        points = met.where("point").groupBy("a", "b").count().collect()
+        assert max(row["count"] for row in points) <= 2 * count / similar.BLOCKS
+
+
 def test_clusters_need_few_lists():
     draw = np.random.default_rng(5)
     middles = draw.standard_normal((30, 16)) * 3
