@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from placemill.llm import words as W
-from placemill.llm.shared import bucket_of, free_name, shuffle_partitions
+from placemill.llm.shared import bucket_of, free_name, free_worker_once, shuffle_partitions
 
 #: Rows of the sample from which the prefixes of the groups are chosen. It bears on the
 #: balance of the groups only, never on results.
@@ -245,11 +245,13 @@ def remove_repeats(
     dealt = docs.withColumn(bucket, bucket_of(id_column, buckets)).repartition(parts, bucket)
 
     def gram_records(key, table):
+        free_worker_once()
         high, least, most = _grams_of(_texts(table, id_column, text_column, window))
         return _records(key[0].as_py(), _share(high, parts), high, high[:0], least, most)
 
     def gram_replies(table):
         """A bit for each gram: whether two documents have it."""
+        free_worker_once()
         rows, cuts, _, first, last = _nodes(table)
         bits = [np.packbits(one).tobytes() for one in np.split(first < last, cuts)]
         return _replies(rows, 1, bits)
@@ -263,10 +265,12 @@ def remove_repeats(
         return texts, found, (part, high, low, least, most), node
 
     def suffix_records(key, left, right):
+        free_worker_once()
         return _records(key[0].as_py(), *bucket_suffixes(left, right.to_pylist())[2])
 
     def suffix_replies(table):
         """The smallest id below each deep node, where a record has a larger one."""
+        free_worker_once()
         rows, cuts, most, first, _ = _nodes(table)
         first = np.where(first < most, first, _NO_ID)
         return _replies(rows, 2, [_planes(one) for one in np.split(first, cuts)])
@@ -278,6 +282,7 @@ def remove_repeats(
     names = result.columns
 
     def cleaned(left, right):
+        free_worker_once()
         replies = right.to_pylist()
         texts, found, (part, *_), node = bucket_suffixes(left, replies)
         first = np.full(len(part), _NO_ID)
