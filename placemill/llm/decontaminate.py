@@ -57,11 +57,22 @@ def _found(column: pa.Array) -> W.Words:
 
 
 def _place(codes: np.ndarray, vocabulary: np.ndarray) -> np.ndarray:
-    """Position of each word in the sorted vocabulary, or -1."""
+    """Position of each word in the sorted vocabulary, or -1.
+
+    Codes are well mixed: most words that are not in the vocabulary differ from all its words
+    in their last 16 bits, and are not searched for.
+    """
+    out = np.full(len(codes), -1)
     if not len(vocabulary):
-        return np.full(len(codes), -1)
+        return out
+    may = np.zeros(1 << 16, bool)
+    may[vocabulary.astype(np.uint16)] = True
+    some = np.flatnonzero(may[codes.astype(np.uint16)])
+    codes = codes[some]
     at = np.minimum(np.searchsorted(vocabulary, codes), len(vocabulary) - 1)
-    return np.where(vocabulary[at] == codes, at, -1)
+    same = vocabulary[at] == codes
+    out[some[same]] = at[same]
+    return out
 
 
 def passages(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -366,6 +377,24 @@ def scan(column: pa.Array, items: Items, limits: Limits) -> Iterator[tuple]:
             yield (a + row, items.ids[one], *leak)
 
 
+def _numbered(values: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values, below ``size``, in order, and which of them each value is."""
+    seen = np.zeros(size, bool)
+    seen[values] = True
+    return np.flatnonzero(seen), (np.cumsum(seen) - 1)[values]
+
+
+def _sums(basis: np.ndarray, place: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
+    """For each of ``rows`` passages the sum of the basis rows of its words, as a product.
+
+    Passages overlap and share words, so each basis row is read once for all of them.
+    """
+    words, column = _numbered(place, len(basis))
+    holds = np.zeros((rows, len(words)), np.float32)
+    holds[row, column] = 1
+    return holds @ basis[words]
+
+
 def _near_items(at, begin, end, near, items: Items, need: np.ndarray) -> Iterator[tuple]:
     """(passage, item, cosine) for passages that may hold as much of an item as ``need``."""
     for some in np.array_split(near, len(near) // _AT_ONCE + 1):
@@ -374,7 +403,10 @@ def _near_items(at, begin, end, near, items: Items, need: np.ndarray) -> Iterato
         size = end[some] - begin[some]
         row = np.repeat(np.arange(len(some)), size)
         word = at[np.repeat(begin[some] - (np.cumsum(size) - size), size) + np.arange(len(row))]
-        key = np.unique((row * np.int64(len(items.idf)) + word)[word >= 0])
+        wide = len(some) * len(items.idf) > np.iinfo(np.int32).max
+        key = (row * len(items.idf) + word)[word >= 0].astype(np.int64 if wide else np.int32)
+        key.sort()
+        key = key[np.flatnonzero(np.diff(key, prepend=-1))].astype(np.int64)
         row, word = key // len(items.idf), key % len(items.idf)
         length = np.bincount(row, items.idf[word], len(some)) ** 0.5
         for space in items.spaces:
@@ -383,11 +415,11 @@ def _near_items(at, begin, end, near, items: Items, need: np.ndarray) -> Iterato
             # A product is at most the weight of the passage's words of the block.
             held = np.bincount(row[inside], items.idf[word[inside]], len(some))
             inside &= (held >= need[space.items].min() * _SLACK)[row]
-            rows, first = np.unique(row[inside], return_index=True)
+            rows, at_row = _numbered(row[inside], len(some))
             if not len(rows):
                 continue
-            vectors = np.add.reduceat(space.basis[place[inside]], first, axis=0)
-            whole = np.add.reduceat(items.idf[word[inside]], first)
+            vectors = _sums(space.basis, place[inside], at_row, len(rows))
+            whole = held[rows]
             outside = np.maximum(whole - np.square(vectors, dtype=float).sum(axis=1), 0) ** 0.5
             products = vectors @ space.vectors.T
             least = (need[space.items] * _SLACK).astype(np.float32)

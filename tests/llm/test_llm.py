@@ -481,6 +481,37 @@ def test_leaks_of_common_words_in_a_large_corpus(spark):
     assert got >= {(one, one) for one in items}
 
 
+def test_the_scan_reads_and_searches_little(monkeypatch):
+    rng = np.random.default_rng(5)
+    place = np.concatenate([np.arange(at, at + 40) for at in range(64)])
+    row = np.repeat(np.arange(64), 40)
+    basis, read = rng.standard_normal((300, 16)).astype(np.float32), []
+
+    class Basis:
+        def __len__(self):
+            return len(basis)
+
+        def __getitem__(self, words):
+            read.append(len(words))
+            return basis[words]
+
+    sums = decontaminate._sums(Basis(), place, row, 64)
+    for one in range(64):
+        assert np.allclose(sums[one], basis[place[row == one]].sum(axis=0), atol=1e-4)
+    assert read == [103]  # shared words once, not 64 * 40 rows
+
+    vocabulary = np.sort(words.mix(np.arange(50, dtype=np.uint64) + np.uint64(1)))
+    codes = words.mix(np.arange(20_000, dtype=np.uint64) + np.uint64(1))
+    searched, search = [], np.searchsorted
+    monkeypatch.setattr(
+        np, "searchsorted", lambda a, v, *rest, **more: searched.append(np.size(v)) or search(a, v, *rest, **more)
+    )
+    at = decontaminate._place(codes, vocabulary)
+    assert (at[:50] >= 0).all() and (vocabulary[at[:50]] == codes[:50]).all() and (at[50:] == -1).all()
+    assert sum(searched) < 1000
+    assert decontaminate._place(codes, vocabulary[:0]).tolist() == [-1] * len(codes)
+
+
 def test_common_subsequence():
     draw = random.Random(2)
     for _ in range(30):
