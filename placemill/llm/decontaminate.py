@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from placemill.llm import words as W
-from placemill.llm.shared import stored
+from placemill.llm.shared import free_worker, free_worker_once, give_back, stored
 
 PASSAGE = 48
 STRIDE = 24
@@ -210,6 +210,7 @@ def _together(docs: DataFrame, items: Items) -> DataFrame:
         return pa.record_batch(columns, ["range", "codes", "n"])
 
     def run(batches):
+        free_worker()
         pairs, total, waiting = _Pairs(), 0, []
         for batch in batches:
             for a, b in W.pieces(batch.column(0)):
@@ -234,6 +235,8 @@ def _together(docs: DataFrame, items: Items) -> DataFrame:
             pairs.add(*_counted(waiting))
         pairs.add(np.array([-1]), np.array([total]))
         yield table(pairs)
+        del pairs, waiting
+        give_back()
 
     def merged(batches):
         sums: dict[int, _Pairs] = {}
@@ -518,19 +521,23 @@ def _reporter(held, limits: Limits, names: list[str], item_type):
     kinds = [to_arrow_type(item_type), *[pa.float64()] * 3, *[pa.int64()] * 2]
 
     def run(batches):
+        free_worker_once()
         for batch in batches:
             rows = list(scan(batch.column(1), held.value, limits))
             columns = [batch.column(0).take(pa.array([row[0] for row in rows], pa.int64()))]
             columns += [pa.array([row[at + 1] for row in rows], kind) for at, kind in enumerate(kinds)]
             yield pa.record_batch(columns, names)
+            give_back()
 
     return run
 
 
 def _tester(held, limits: Limits):
     def leaks(texts: pa.Array) -> pa.Array:
+        free_worker_once()
         out = np.zeros(len(texts), bool)
         out[[row[0] for row in scan(texts, held.value, limits)]] = True
+        give_back()
         return pa.array(out)
 
     return F.arrow_udf(leaks, "boolean")

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placemill.llm import words as W
-from placemill.llm.shared import free_name, free_worker, stored
+from placemill.llm.shared import free_name, free_worker, give_back, stored
 
 UNKNOWN = "und"
 #: Bound of the sample of labelled documents a language; all words of the sample count.
@@ -191,6 +191,7 @@ def _word_counts(classes: np.ndarray):
                 found = pa.table({"lang": langs, "word": pa.array(words, pa.string())})
                 counts = found.group_by(["lang", "word"]).aggregate([([], "count_all")])
                 yield from counts.rename_columns(["lang", "word", "n"]).to_batches()
+            give_back()
 
     return run
 
@@ -286,6 +287,7 @@ def predicted(model: LanguageModel, docs: DataFrame, text: Column) -> Column:
                 scores.append(found[1])
             parts = [pa.array(langs, pa.string()), pa.array(np.concatenate(scores))]
             yield pa.StructArray.from_arrays(parts, ["lang", "score"])
+            give_back()
 
     return F.arrow_udf(run, "lang string, score double")(text)
 

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from placemill.llm import words as W
 from placemill.llm.components import components
-from placemill.llm.shared import free_worker, id_filter, shuffle_partitions, stored
+from placemill.llm.shared import free_worker, give_back, id_filter, shuffle_partitions, stored
 from placemill.operators.spread import spread_join
 from placemill.runtime import broadcast_if_small
 
@@ -128,6 +128,7 @@ def sketches(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
                     ],
                     ["doc", "n_shingles", "digest", "signature", "keys"],
                 )
+            give_back()
 
     schema = "doc long, n_shingles long, digest binary, signature binary, keys array<long>"
     return docs.mapInArrow(run, schema)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from placemill.llm import words as W
-from placemill.llm.shared import shuffle_partitions, stored
+from placemill.llm.shared import free_worker, give_back, shuffle_partitions, stored
 from placemill.llm.tokens import encoder
 from placemill.runtime import broadcast_if_small
 
@@ -190,6 +190,7 @@ def cut_pieces(
     """Full sequences and the rest of every row of ``docs`` (id, text), one row a piece."""
 
     def run(batches):
+        free_worker(keep=(tokenizer,))
         encode = encoder(tokenizer)
         for batch in batches:
             for begin, end in W.pieces(batch.column(1)):
@@ -216,6 +217,7 @@ def cut_pieces(
                     columns.append(pa.array(ids, pa.list_(pa.int32())))
                     names.append("ids")
                 yield pa.record_batch(columns, names)
+            give_back()
 
     schema = f"id {docs.schema['id'].dataType.simpleString()}, start long, length long, "
     schema += "ids_crc32 long, doc_tokens long" + (", ids array<int>" if keep_ids else "")

@@ -22,6 +22,8 @@ from placemill.runtime import broadcast_if_small
 REMEMBERED = 1_500_000
 _BATCH = 2 << 20
 _GROUP = 64
+#: Words that the library encodes at a time; its results are many times as large as ids.
+_LEARNED = 4096
 _TWO_BYTES = 0x800  # code points of one or two bytes in UTF-8
 
 Encode = Callable[[pa.Array], list]
@@ -77,36 +79,46 @@ class WordEnds:
         self.sizes = np.zeros(0, np.int64)
         self.ids = np.zeros(0, "<u4")
 
-    def _plain(self, words: list[str]) -> list[np.ndarray]:
+    def _plain(self, words: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Ids of words, on end, and how many each word has."""
         rows = self.tokenizer.encode_batch(words, add_special_tokens=False)
-        return [np.array(row.ids, "<u4") for row in rows]
+        found = [row.ids for row in rows]
+        return [np.array([at for ids in found for at in ids], "<u4")], [
+            np.array([len(ids) for ids in found], np.int64)
+        ]
 
-    def _letters(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of words of letters alone, each of which ends in an end piece."""
+    def _letters(self, words: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """The same of words of letters alone, each of which ends in an end piece."""
         groups = [words[at : at + _GROUP] for at in range(0, len(words), _GROUP)]
         joined = [" ".join(group) for group in groups]
         rows = self.tokenizer.encode_batch(joined, add_special_tokens=False)
-        out: list[np.ndarray] = []
+        out: tuple[list[np.ndarray], list[np.ndarray]] = [], []
         for group, row in zip(groups, rows, strict=True):
             ids = np.array(row.ids, "<u4")
             cut = np.flatnonzero(self.ends[ids]) + 1
             if len(cut) == len(group) and cut[-1] == len(ids):
-                out += np.split(ids, cut[:-1])
+                found = [ids], [np.diff(cut, prepend=0)]
             else:
-                out += self._plain(group)
+                found = self._plain(group)
+            for one, more in zip(out, found, strict=True):
+                one += more
         return out
 
     def _learn(self, codes: np.ndarray, words: list[str]) -> None:
         """Remembers the ids of unknown words; ``codes`` are in order."""
-        found: list = [None] * len(words)
-        letters = [at for at, word in enumerate(words) if word.isalpha()]
-        others = [at for at, word in enumerate(words) if not word.isalpha()]
-        for chosen, encode in ((letters, self._letters), (others, self._plain)):
-            for at, ids in zip(chosen, encode([words[at] for at in chosen]), strict=True):
-                found[at] = ids
-        sizes = np.array([len(ids) for ids in found], np.int64)
-        begins = len(self.ids) + np.cumsum(sizes) - sizes
-        self.ids = np.concatenate([self.ids, *found])
+        letter = np.array([word.isalpha() for word in words], bool)
+        sizes, begins = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        found, held = [self.ids], len(self.ids)
+        for chosen, encode in ((letter, self._letters), (~letter, self._plain)):
+            at = np.flatnonzero(chosen)
+            for some in np.split(at, np.arange(_LEARNED, len(at), _LEARNED)):
+                if len(some):
+                    ids, many = encode([words[one] for one in some.tolist()])
+                    found += ids
+                    sizes[some] = np.concatenate(many)
+                    begins[some] = held + np.cumsum(sizes[some]) - sizes[some]
+                    held += int(sizes[some].sum())
+        self.ids = np.concatenate(found)
         place = np.searchsorted(self.codes, codes)
         self.codes = np.insert(self.codes, place, codes)
         self.begins = np.insert(self.begins, place, begins)

@@ -25,6 +25,8 @@ from placemill.llm import (
     packing,
     quality,
     sharding,
+    shared,
+    tokens,
     words,
 )
 from placemill.llm.components import components
@@ -220,6 +222,59 @@ def test_packing(spark):
     assert packing.pack(table(spark, []), TOKENIZER).count() == 0
 
 
+class Held:
+    """Stands for a DataFrame and holds the functions that its workers would run."""
+
+    def __init__(self, spark):
+        self.schema, self.runs = spark.createDataFrame([], "id long, text string").schema, []
+
+    def mapInArrow(self, run, schema):  # noqa: N802
+        self.runs.append(run)
+        return self
+
+    def select(self, *names):
+        return self
+
+    repartition = select
+
+
+def test_workers_give_memory_back(spark, monkeypatch):
+    texts = [(one, f"word{one} of{one} many {one}") for one in range(40)]
+    rows = pa.table({"id": [key for key, _ in texts], "text": [text for _, text in texts]})
+    backs, docs, encode = [], Held(spark), encoder(TOKENIZER)
+    monkeypatch.setattr(packing, "give_back", lambda: backs.append(len(encode.codes)))
+    shared.worker_memory()["of an earlier operator"] = 1
+    packing.cut_pieces(docs, TOKENIZER, 1, 8, False)
+    out = pa.Table.from_batches(docs.runs[0](iter(rows.to_batches(10))))
+    assert set(out["id"].to_pylist()) == set(range(40))
+    assert len(backs) == 4 and backs[-1] > 0
+    assert shared.worker_memory() == {TOKENIZER: encode}  # what it learned stays
+
+    items = decontaminate.read_items([(1, "word1 of1 many"), (2, "word2 or three")])
+    docs = Held(spark)
+    decontaminate._together(docs, items)
+    found = pa.Table.from_batches(docs.runs[0](iter(rows.select(["text"]).to_batches(10))))
+    assert found.num_rows and not shared.worker_memory()
+
+
+def test_words_are_learned_a_few_at_a_time(monkeypatch):
+    monkeypatch.setattr(tokens, "_LEARNED", 128)
+    encode, most = tokens.WordEnds(TOKENIZER), []
+    library = encode.tokenizer
+
+    class Counted:
+        def encode_batch(self, texts, **more):
+            most.append(sum(len(text.split()) for text in texts))
+            return library.encode_batch(texts, **more)
+
+    encode.tokenizer = Counted()
+    text = " ".join(f"{chr(97 + at % 26)}q{chr(97 + at // 26)}z {at}x a-{at}" for at in range(600))
+    own = encode(pa.array([text, None, "ab. 1"]))
+    for ids, one in zip(own, [text, "", "ab. 1"], strict=True):
+        assert ids.tolist() == library.encode(one, add_special_tokens=False).ids
+    assert len(most) > 10 and max(most) <= 128
+
+
 def test_cutting_plan_places_every_item():
     draw = np.random.default_rng(3)
     histogram = Counter(draw.integers(1, 513, 3000).tolist())
