@@ -427,6 +427,14 @@ def _near_items(at, begin, end, near, items: Items, need: np.ndarray) -> Iterato
             products = vectors @ space.vectors.T
             least = (need[space.items] * _SLACK).astype(np.float32)
             may = products + outside.astype(np.float32)[:, None] * space.lost >= least
+            hits = np.flatnonzero(may.any(axis=1))
+            if not len(hits):
+                continue
+            # What is reported comes from sums in the order of the words.
+            own = np.flatnonzero(np.isin(at_row, hits))
+            first = np.flatnonzero(np.diff(at_row[own], prepend=-1))
+            vectors[hits] = np.add.reduceat(space.basis[place[inside][own]], first, axis=0)
+            products = vectors @ space.vectors.T
             for r, i in zip(*np.nonzero(may), strict=True):
                 one = int(space.items[i])
                 scale = length[rows[r]] * np.hypot(np.linalg.norm(space.vectors[i]), space.lost[i])
