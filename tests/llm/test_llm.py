@@ -257,6 +257,23 @@ def test_workers_give_memory_back(spark, monkeypatch):
     assert found.num_rows and not shared.worker_memory()
 
 
+def test_the_pipeline_sends_few_rows_to_python_at_a_time(spark, monkeypatch):
+    before = spark.conf.get(corpus_pipeline.ARROW_ROWS)
+    monkeypatch.setattr(corpus_pipeline, "BATCH_ROWS", 7)
+    try:
+        docs = table(spark, [(one, f"some words {one}") for one in range(40)], extra=False)
+        corpus_pipeline.packing(spark, docs.coalesce(1), FOLDER)
+        sizes = docs.coalesce(1).mapInArrow(
+            lambda batches: (pa.record_batch([pa.array([len(one)])], ["n"]) for one in batches), "n long"
+        )
+        assert max(row.n for row in sizes.collect()) <= 7
+        spark.conf.set(corpus_pipeline.ARROW_ROWS, "3")  # a smaller setting stays
+        corpus_pipeline.small_batches(spark)
+        assert spark.conf.get(corpus_pipeline.ARROW_ROWS) == "3"
+    finally:
+        spark.conf.set(corpus_pipeline.ARROW_ROWS, before)
+
+
 def test_words_are_learned_a_few_at_a_time(monkeypatch):
     monkeypatch.setattr(tokens, "_LEARNED", 128)
     encode, most = tokens.WordEnds(TOKENIZER), []
