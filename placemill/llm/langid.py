@@ -14,6 +14,7 @@ import sys
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -31,9 +32,13 @@ DOCS_PER_LANGUAGE = 4000
 WORDS_PER_LANGUAGE: int | None = None
 GRAMS_PER_LANGUAGE: int | None = None
 LONGEST_GRAM = 4
+#: Words, and n-grams of each length, longest first.
+_KINDS = ("w", *(str(size) for size in range(LONGEST_GRAM, 0, -1)))
 _SMOOTH = 0.5
 _TEXT_BYTES = 1 << 20
+_ITEM_BYTES = 1 << 18
 _LETTER, _MARK = 1, 2
+_COUNTS = pa.schema([("item", pa.string()), ("lang", pa.string()), ("n", pa.int64())])
 
 
 def character_classes() -> np.ndarray:
@@ -72,6 +77,15 @@ def grams_of(word: str, size: int) -> list[str]:
     return [marked[at : at + size] for at in range(len(marked) - size + 1)]
 
 
+def _codes(items: pa.Array) -> np.ndarray:
+    """The code of each item's code points; some of the strings exist at a time."""
+    out = [np.zeros(0, np.uint64)]
+    for begin, end in W.pieces(items, _ITEM_BYTES):
+        data, offsets = _points(items.slice(begin, end - begin).to_pylist())
+        out.append(W.codes_of(data, offsets[:-1], offsets[1:]))
+    return np.concatenate(out)
+
+
 @dataclass
 class Scores:
     """Sorted 64-bit codes of items, and the log frequencies of each in all languages."""
@@ -90,16 +104,15 @@ class Scores:
 class Scorer:
     """A model as arrays: the words, and the n-grams of each length, longest first."""
 
-    def __init__(self, languages: list[str], rows: dict[str, int], table: np.ndarray):
+    def __init__(self, languages: list[str], items: dict[str, pa.Array], table: np.ndarray):
         self.languages, self.classes = languages, character_classes()
         self.items: dict[str, Scores] = {}
-        for kind in ("w", *(str(size) for size in range(LONGEST_GRAM, 0, -1))):
-            found = [(item[1:], at) for item, at in rows.items() if item[0] == kind]
-            data, offsets = _points([item for item, _ in found])
-            codes = W.codes_of(data, offsets[:-1], offsets[1:])
+        begin = 0
+        for kind, found in items.items():
+            codes = _codes(found)
             order = np.argsort(codes)
-            at = np.array([at for _, at in found], np.int64)[order]
-            self.items[kind] = Scores(codes[order], table[at])
+            self.items[kind] = Scores(codes[order], table[begin : begin + len(found)][order])
+            begin += len(found)
 
     def _backed_off(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Scores of unseen words: the mean over the longest known n-grams, else nothing."""
@@ -158,14 +171,24 @@ class Scorer:
 
 @dataclass
 class LanguageModel:
-    """Log frequencies per language, a row of ``table`` for each word and n-gram."""
+    """Log frequencies per language, a row of ``table`` for each word and n-gram.
+
+    ``items`` has them by kind, in the order of the rows, as Arrow arrays: a Python string
+    for each takes many times its letters.
+    """
 
     languages: list[str]
-    rows: dict[str, int]
+    items: dict[str, pa.Array]
     table: np.ndarray
 
+    @cached_property
+    def rows(self) -> dict[str, int]:
+        """The row of each item, its kind in front: to look into a small model."""
+        names = (kind + item for kind, own in self.items.items() for item in own.to_pylist())
+        return {name: at for at, name in enumerate(names)}
+
     def scorer(self) -> Scorer:
-        return Scorer(self.languages, self.rows, self.table)
+        return Scorer(self.languages, self.items, self.table)
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """The language and its probability; ``und`` and 0 without a letter or a model."""
@@ -215,58 +238,61 @@ def train(
     ).where(f"lang is not null and text is not null and lang <> '{UNKNOWN}'")
     found = {row["lang"]: row["n"] for row in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not found:
-        return LanguageModel([], {}, np.zeros((0, 0)))
+        return _model({kind: (_COUNTS.empty_table(), {}) for kind in _KINDS})
     shares = {lang: min(1.0, docs_per_language / n) for lang, n in found.items()}
     table = F.create_map(*[F.lit(x) for pair in shares.items() for x in pair])
     draw = F.pmod(F.xxhash64(F.lit("langid"), "id"), F.lit(1 << 20)) / float(1 << 20)
     chosen = rows.where(draw < table[F.col("lang")]).select("lang", "text")
     words = chosen.mapInArrow(_word_counts(character_classes()), "lang string, word string, n long")
     words = stored(words.groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
-    found_rows = _commonest(words.withColumnRenamed("word", "item"), "w", WORDS_PER_LANGUAGE)
-    for size in range(1, LONGEST_GRAM + 1):
+    counts = {"w": _commonest(words.withColumnRenamed("word", "item"), WORDS_PER_LANGUAGE)}
+    for size in map(int, _KINDS[1:]):
         marked = F.col("word") if size == 1 else F.concat(F.lit("<"), "word", F.lit(">"))
         begin = F.explode(F.sequence(F.lit(1), F.length("marked") - size + 1)).alias("at")
         grams = words.select("lang", "n", marked.alias("marked"))
         grams = grams.where(F.length("marked") >= size).select("lang", "n", "marked", begin)
         grams = grams.withColumn("item", F.substring("marked", F.col("at"), F.lit(size)))
         grams = grams.groupBy("lang", "item").agg(F.sum("n").alias("n"))
-        found_rows += _commonest(grams, str(size), GRAMS_PER_LANGUAGE)
-    return _model(found_rows)
+        counts[str(size)] = _commonest(grams, GRAMS_PER_LANGUAGE)
+    model = _model(counts)
+    del counts
+    give_back()
+    return model
 
 
-def _commonest(counts: DataFrame, kind: str, most: int | None) -> list:
-    """(item, language, count, total of the language), of the sample's counts.
+def _commonest(counts: DataFrame, most: int | None) -> tuple[pa.Table, dict[str, int]]:
+    """(item, lang, n) of the sample's counts, and the total of each language.
 
     With ``most``, only items that are among so many commonest of a language; such an
     item keeps its counts in all languages.
     """
-    table = counts.select("item", "lang", "n").toArrow()
+    table = counts.select("item", "lang", "n").toArrow().cast(_COUNTS)
     totals = table.group_by("lang").aggregate([("n", "sum")])
     total = dict(zip(*(totals.column(name).to_pylist() for name in ("lang", "n_sum")), strict=True))
     if most is not None:
-        keep: set = set()
+        keep = []
         for lang in total:
             own = table.filter(pc.equal(table.column("lang"), lang))
             own = own.sort_by([("n", "descending"), ("item", "ascending")])
-            keep |= set(own.column("item").slice(0, most).to_pylist())
-        table = table.filter(pc.is_in(table.column("item"), pa.array(sorted(keep), pa.string())))
-    columns = (table.column(name).to_pylist() for name in ("item", "lang", "n"))
-    return [(kind + item, lang, n, total[lang]) for item, lang, n in zip(*columns, strict=True)]
-
-
-def _model(counts: list) -> LanguageModel:
-    languages = sorted({row[1] for row in counts})
-    column = {lang: at for at, lang in enumerate(languages)}
-    items = sorted({row[0] for row in counts})
-    rows = {item: at for at, item in enumerate(items)}
-    totals: dict[str, np.ndarray] = {}
-    table = np.full((len(items), len(languages)), _SMOOTH)
-    for item, lang, count, total in counts:
-        totals.setdefault(item[0], np.ones(len(languages)))[column[lang]] = total
-        table[rows[item], column[lang]] += count
-    for item, at in rows.items():
-        table[at] = np.log(table[at] / (totals[item[0]] + _SMOOTH * 1000))
-    return LanguageModel(languages, rows, table)
+            keep += own.column("item").slice(0, most).chunks
+        kept = pa.chunked_array(keep, pa.string())
+        table = table.filter(pc.is_in(table.column("item"), value_set=kept))
+    return table, total
+
+
+def _model(counts: dict[str, tuple[pa.Table, dict[str, int]]]) -> LanguageModel:
+    """The model of the counts of each kind: sums and logarithms of whole columns."""
+    languages = sorted(set().union(*(table["lang"].unique().to_pylist() for table, _ in counts.values())))
+    items, parts = {}, []
+    for kind, (table, total) in counts.items():
+        coded = table["item"].combine_chunks().dictionary_encode()
+        lang = pc.index_in(table["lang"], value_set=pa.array(languages, pa.string())).to_numpy()
+        part = np.full((len(coded.dictionary), len(languages)), _SMOOTH)
+        part[coded.indices.to_numpy(), lang] += table["n"].to_numpy()
+        part /= np.array([total.get(name, 1) for name in languages]) + _SMOOTH * 1000
+        items[kind] = coded.dictionary
+        parts.append(np.log(part, out=part))
+    return LanguageModel(languages, items, np.concatenate(parts))
 
 
 def predicted(model: LanguageModel, docs: DataFrame, text: Column) -> Column:

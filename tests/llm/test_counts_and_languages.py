@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -146,3 +147,21 @@ def test_predictions_by_hand(spark):
         assert (row._lang_pred, row.lang_pred) == (lang, "own"), texts[row.doc_id]
         assert abs(row._score - score) < 1e-9
     assert langid.identify(df.limit(0), model).count() == 0
+
+
+def test_a_model_takes_little_of_the_drivers_memory(spark):
+    """Arrays for words and n-grams: Python objects for each took over 500 bytes an item."""
+    draw = random.Random(4)
+    texts = [" ".join("".join(draw.choices("abcdefgh", k=9)) for _ in range(10_000)) for _ in range(4)]
+    rows = [(at, text, "ab"[at % 2]) for at, text in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    tracemalloc.start()
+    try:
+        model = langid.train(docs)
+        scorer = model.scorer()
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    items = sum(len(own.codes) for own in scorer.items.values())
+    assert items == len(model.table) > 40_000
+    assert peak - (1 << 24) < 200 * items  # 16 MB: the powers of the codes, the classes of letters
