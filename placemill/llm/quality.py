@@ -18,12 +18,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placemill.llm import words as W
-from placemill.llm.shared import stored
+from placemill.llm.shared import free_worker, give_back, stored
 from placemill.operators.spread import spread_join
 from placemill.runtime import broadcast_if_small
 
 #: Labelled rows that the classifier is fitted on, at most about so many.
 FIT_ROWS = 20_000
+#: The table of sites has a file for so many documents: a file costs more than its few rows.
+SITE_ROWS = 20_000
 STEPS = 25
 _KINDS = (
     "upper lower digit space line point comma symbol bang pipe wide other "
@@ -116,6 +118,7 @@ def text_features(docs: DataFrame, id_column: str, text_column: str, keep: list[
     names = ["id", *[f"level{at}" for at in range(len(keep))]]
 
     def run(batches):
+        free_worker()
         for batch in batches:
             text = batch.num_columns - 1
             for begin, end in W.pieces(batch.column(text)):
@@ -124,6 +127,7 @@ def text_features(docs: DataFrame, id_column: str, text_column: str, keep: list[
                 rows = pa.FixedSizeListArray.from_arrays(pa.array(values.ravel()), len(_KINDS))
                 lists = rows.cast(pa.list_(pa.float64()))
                 yield pa.record_batch([*part.columns[:text], lists], [*names, "features"])
+            give_back()
 
     kind = docs.schema[id_column].dataType.simpleString()
     levels = "".join(f"{name} string, " for name in names[1:])
@@ -180,12 +184,13 @@ def score_quality(
     Null or empty text: features 0, scored like other texts. A null host or path is a
     site of its own. No labels: the scores follow the prior, 1/2. No rows give no rows.
     """
-    plain = stored(text_features(docs, id_column, text_column, [host_column, path_column]), "features")
+    plain = text_features(docs, id_column, text_column, [host_column, path_column])
     known = labels.where(F.col(label_column).isNotNull()).groupBy(F.col(id_column).alias("id"))
     known = known.agg(F.max(label_column).cast("double").alias("label"))
-    labelled = spread_join(plain, known, ["id"], "left")
+    labelled = stored(spread_join(plain, known, ["id"], "left"), "labelled")
 
-    total = labelled.where("label is not null").agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    count = labelled.agg(F.count("label").alias("labels"), F.count(F.lit(1)).alias("docs")).first()
+    total = count["labels"]
     draw = F.pmod(F.xxhash64(F.lit("quality"), "id"), F.lit(1 << 20)) / float(1 << 20)
     chosen = labelled.where("label is not null").where(draw < min(1.0, fit_rows / max(total, 1)))
     rows = chosen.select("features", "label").toArrow()
@@ -202,13 +207,13 @@ def score_quality(
     odds = F.greatest(F.lit(-12.0), F.least(F.lit(12.0), terms))
     judged = labelled.select("id", "level0", "level1", "label", odds.alias("odds"))
     chance = 1 / (1 + F.exp(-F.col("odds")))
-    judged = stored(judged.withColumn("own", chance), "judged")
+    judged = judged.withColumn("own", chance)
 
     weight = F.coalesce("label", "own")
     paths = judged.groupBy("level0", "level1").agg(
         F.sum(weight).alias("s"), F.count(F.lit(1)).alias("n")
     )
-    paths = stored(paths, "paths")
+    paths = stored(paths.coalesce(1 + count["docs"] // SITE_ROWS), "paths")
     hosts = paths.groupBy("level0").agg(F.sum("s").alias("host_s"), F.sum("n").alias("host_n"))
     whole = hosts.agg(F.sum("host_s").alias("s"), F.sum("host_n").alias("n")).first()
     mean = (whole["s"] or 0.0) / whole["n"] if whole["n"] else 0.5
@@ -223,7 +228,7 @@ def score_quality(
         F.col("level0").alias("a"), F.col("level1").alias("b"), "host_mean", path_mean.alias("path_mean")
     )
     same = F.col("level0").eqNullSafe(F.col("a")) & F.col("level1").eqNullSafe(F.col("b"))
-    done = judged.join(broadcast_if_small(stored(sites, "sites")), same)
+    done = judged.join(broadcast_if_small(sites), same)
     bounded = F.greatest(F.lit(1e-6), F.least(F.lit(1 - 1e-6), F.col("path_mean")))
     prior = float(np.log(model.prior / (1 - model.prior)))
     joint = F.col("odds") + F.log(bounded / (1 - bounded)) - prior

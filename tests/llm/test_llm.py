@@ -448,6 +448,29 @@ def test_a_sparse_site_stays_near_the_prior(spark):
     assert 0 < got[99].path_mean < got[0].path_mean
 
 
+def test_quality_writes_few_files(spark, monkeypatch):
+    """Each file starts processes beside the executor: the few rows of sites get few files."""
+    written = []
+
+    def counted(df, name):
+        table = shared.stored(df, name)
+        written.append((name, len(table.inputFiles())))
+        return table
+
+    monkeypatch.setattr(quality, "stored", counted)
+    rows = [(at, f"text {at} here", f"host{at % 7}", f"path{at % 11}") for at in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    labels = spark.createDataFrame([(at, at % 2) for at in range(200)], "doc_id long, quality int")
+    aqe = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(aqe, "false")
+    try:
+        done = quality.score_quality(docs, labels)
+        assert done.count() == 300 == done.where("own is not null and path_mean is not null").count()
+    finally:
+        spark.conf.unset(aqe)
+    assert sum(files for _, files in written) <= 9
+
+
 def test_leaks(spark):
     benchmark = spark.read.parquet(f"{FOLDER}/benchmark.parquet")
     items = {r.item_id: r.text for r in benchmark.collect()}
