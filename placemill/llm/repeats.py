@@ -91,14 +91,15 @@ class _Piece:
         valid = W.within(self.words.first, size)
         self.least, chosen = W.minimizers(self.grams, valid, self.whole, self.width)
         self.anchors = np.flatnonzero(chosen)
+        # Least grams are small numbers; mixed again they spread over all groups alike.
+        self.keys = W.mix(self.grams[self.anchors])
 
     def suffixes(self, shared: np.ndarray):
-        """Windows whose least gram is in ``shared`` (sorted), their keys and ids."""
+        """Windows whose least gram's key is in ``shared`` (sorted), their keys and ids."""
         at = np.zeros(0, np.int64)
         if len(shared) and len(self.anchors):
-            grams = self.grams[self.anchors]
-            near = np.minimum(np.searchsorted(shared, grams), len(shared) - 1)
-            seen = self.anchors[shared[near] == grams]
+            near = np.minimum(np.searchsorted(shared, self.keys), len(shared) - 1)
+            seen = self.anchors[shared[near] == self.keys]
             hidden = np.full(len(self.grams), W.MOST)
             hidden[seen] = self.grams[seen]
             at = np.flatnonzero((W.sliding(hidden, self.width) == self.least) & self.whole)
@@ -132,8 +133,8 @@ def _joined(parts: list[tuple]) -> tuple:
 
 
 def _grams_of(texts: list[_Piece]):
-    """The distinct anchor grams of a bucket in order, smallest and largest id of each."""
-    grams, ids = _joined([(one.grams[one.anchors], one.owner[one.anchors]) for one in texts])
+    """The distinct keys of a bucket's anchor grams in order, smallest and largest id of each."""
+    grams, ids = _joined([(one.keys, one.owner[one.anchors]) for one in texts])
     high, _, least, most, _ = _unique(grams, grams[:0], ids)
     return high, least, most
 

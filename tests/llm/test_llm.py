@@ -24,6 +24,7 @@ from placemill.llm import (
     ordermin,
     packing,
     quality,
+    repeats,
     sharding,
     shared,
     tokens,
@@ -426,6 +427,16 @@ def test_every_registered_licence_is_found(spark):
     assert whole >= set(enumerate(names))
 
 
+def test_groups_of_grams_are_alike():
+    """Least grams are small numbers: by their size one group of 50 had a quarter of them."""
+    draw = random.Random(7)
+    texts = [" ".join(str(draw.randrange(10**6)) for _ in range(2000)) for _ in range(20)]
+    docs = pa.table({"id": pa.array(range(20), pa.int64()), "t": pa.array(texts)})
+    keys, *_ = repeats._grams_of(repeats._texts(docs, "id", "t", 50))
+    sizes = np.bincount(repeats._share(keys, 50), minlength=50)
+    assert len(keys) > 2000 and sizes.max() < 2.5 * sizes.mean()
+
+
 def test_quality(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
