@@ -7,8 +7,8 @@
 2. Items are taken ``BLOCK`` at a time, fewer than the rank. For each block, a randomised
    singular value decomposition of TF-IDF passages (its items and all passages of all
    documents) gives a latent space. The products with the passage matrix are taken by the
-   table of words that stand together, as sums over its partitions; the driver sees
-   vocabulary of the block x rank.
+   table of words that stand together, added up in tasks; the driver sees
+   vocabulary of the block x rank, once a product.
 3. Every document is cut into overlapping passages. The product of a passage and an item
    is the weight of the item's words in the passage. It is taken in the latent space, and
    the lengths of what lies outside bound what the space loses. A passage is a candidate
@@ -29,6 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -43,6 +44,8 @@ OVERSAMPLE = 16
 ROUNDS = 2
 #: Pairs of words that are made at once, and words of a range of the table of pairs.
 _PAIRS, _RANGE = 1 << 20, 64
+#: Blocks of a product that a task adds up, about half a megabyte.
+_BLOCKS = 4
 ITEMS = 4000
 BLOCK = 200
 _AT_ONCE = 64
@@ -268,7 +271,12 @@ def _totals(together: DataFrame, size: int) -> dict[int, int]:
 
 
 def _product(together: DataFrame, root: np.ndarray, local: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """AᵀA ``right`` for the matrix A of all passages, summed over partitions."""
+    """AᵀA ``right`` for the matrix A of all passages, summed over partitions.
+
+    A partition gives its sums in blocks of ``_RANGE`` words, and tasks add up each block, in
+    the order of the partitions. So the driver gets the product once, in small pieces, and
+    not a whole matrix from every partition.
+    """
 
     held = together.sparkSession.sparkContext.broadcast((root, local, right.astype(np.float32)))
     shape = right.shape
@@ -291,14 +299,42 @@ def _product(together: DataFrame, root: np.ndarray, local: np.ndarray, right: np
                 total[words] += dense @ right
                 dense[np.arange(len(words)), words] = 0
                 total += dense.T @ right[words]
-        yield pa.record_batch([pa.array([total.tobytes()], pa.binary())], ["sums"])
-
-    parts = together.mapInArrow(run, "sums binary").toLocalIterator()
-    total = sum((np.frombuffer(row[0]).reshape(shape) for row in parts), np.zeros(shape))
+        part = TaskContext.get().partitionId()
+        for first in range(0, shape[0], _RANGE):
+            yield _sums_row([first, part, total[first : first + _RANGE].tobytes()], ["first", "part", "sums"])
+
+    blocks = -(-shape[0] // _RANGE)
+    found = together.mapInArrow(run, "first int, part int, sums binary")
+    found = found.repartition(max(1, -(-blocks // _BLOCKS)), "first")
+    found = found.sortWithinPartitions("first", "part").mapInArrow(_added, "first int, sums binary")
+    total = np.zeros(shape)
+    for batch in found.toArrow().to_batches():
+        for first, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            total[first : first + _RANGE] = np.frombuffer(data.as_buffer()).reshape(-1, shape[1])
     held.destroy()
     return total
 
 
+def _sums_row(values: list, names: list[str]) -> pa.RecordBatch:
+    kinds = [pa.binary() if name == "sums" else pa.int32() for name in names]
+    return pa.record_batch([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names)
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(first, sums) for rows (first, part, sums) in order: the sums of equal ``first`` added up."""
+    at, total = None, np.zeros(0)
+    for batch in batches:
+        for first, data in zip(batch.column(0).to_pylist(), batch.column(2), strict=True):
+            sums = np.frombuffer(data.as_buffer())
+            if first != at:
+                if at is not None:
+                    yield _sums_row([at, total.tobytes()], ["first", "sums"])
+                at, total = first, np.zeros(len(sums))
+            total += sums
+    if at is not None:
+        yield _sums_row([at, total.tobytes()], ["first", "sums"])
+
+
 def fit_latent(docs: DataFrame, items: Items) -> Items:
     """Weights and latent spaces from all passages of all documents, added to ``items``."""
     together = stored(_together(docs, items), "together").coalesce(8)
@@ -310,6 +346,7 @@ def fit_latent(docs: DataFrame, items: Items) -> Items:
     every = np.arange(len(items.codes))
     cuts = np.arange(BLOCK, len(every), BLOCK)
     items.spaces = [_space(together, seen, items, some) for some in np.split(every, cuts)]
+    give_back()
     return items
 
 
@@ -326,7 +363,10 @@ def _space(together: DataFrame, seen: np.ndarray, items: Items, some: np.ndarray
     right = np.random.default_rng(11).standard_normal((len(words), min(RANK + OVERSAMPLE, len(words))))
 
     def product(right):
-        return _product(together, root, local, right) + weighted.T @ (weighted @ right)
+        total = _product(together, root, local, right)
+        total += weighted.T @ (weighted @ right)
+        give_back()  # matrices of the driver that are done with
+        return total
 
     for _ in range(ROUNDS + 1):
         right, _ = np.linalg.qr(product(right))

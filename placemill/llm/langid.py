@@ -298,9 +298,11 @@ def _model(counts: dict[str, tuple[pa.Table, dict[str, int]]]) -> LanguageModel:
 def predicted(model: LanguageModel, docs: DataFrame, text: Column) -> Column:
     """Struct column (lang, score) for a text column; the model travels by broadcast.
 
-    It is arrays of codes and scores, bounded by the sample that it was trained on.
+    It is arrays of codes and scores, bounded by the sample that it was trained on. The
+    driver's copy of them goes once it is sent.
     """
     held = docs.sparkSession.sparkContext.broadcast(model.scorer())
+    give_back()
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         free_worker()

@@ -539,6 +539,54 @@ def test_leaks_of_more_items_than_dimensions(spark):
     assert len(want) >= 380 and got == want
 
 
+def test_the_driver_gets_the_product_of_all_passages_once(spark, monkeypatch):
+    """Summed over partitions in tasks: no whole matrix of each partition, no large row."""
+    draw = random.Random(12)
+    texts = [" ".join(f"v{draw.randrange(300)}" for _ in range(60)) for _ in range(200)]
+    docs = spark.createDataFrame([(text,) for text in texts], "text string").repartition(3)
+    items = decontaminate.read_items([(0, " ".join(f"v{at}" for at in range(300)))])
+    together = decontaminate.stored(decontaminate._together(docs, items), "together")
+    together = together.repartition(4, "range")
+    right, local = np.random.default_rng(3).standard_normal((300, 20)), np.arange(301)
+    kind, seen = type(together), []
+
+    def watched(name, values):
+        old = getattr(kind, name)
+
+        def run(self, *args, **kwargs):
+            out = old(self, *args, **kwargs)
+            out = list(out) if name != "toArrow" else out
+            seen.extend(len(value) for value in values(out) if isinstance(value, bytes | bytearray))
+            return out
+
+        monkeypatch.setattr(kind, name, run)
+
+    watched("toLocalIterator", lambda rows: [value for row in rows for value in row])
+    watched("collect", lambda rows: [value for row in rows for value in row])
+    watched("toArrow", lambda table: [value for column in table.columns for value in column.to_pylist()])
+    got = decontaminate._product(together, np.ones(300), local, right)
+    monkeypatch.undo()
+    column = pa.array(texts, pa.string())
+    found = decontaminate._found(column)
+    held = np.zeros((0, 300))
+    for a, b, _ in zip(*decontaminate.passages(found.first), strict=True):
+        row = np.zeros((1, 300))
+        row[0, decontaminate._place(found.codes[a:b], items.vocabulary)] = 1
+        held = np.r_[held, row]
+    assert np.allclose(got, held.T @ (held @ right), rtol=1e-4, atol=1e-2)
+    assert sum(seen) == got.nbytes and max(seen) <= decontaminate._RANGE * 20 * 8
+
+
+def test_the_driver_gives_the_sent_model_back(spark, monkeypatch):
+    docs = table(spark, [(1, "ein kleines haus"), (2, "a small house")], extra=False)
+    docs = docs.withColumn("lang", F.when(F.col("doc_id") == 1, "de").otherwise("en"))
+    model, backs = langid.train(docs), []
+    monkeypatch.setattr(langid, "give_back", lambda: backs.append(1))
+    found = langid.identify(docs, model)
+    assert backs == [1]
+    assert {r.doc_id: r.lang_pred for r in found.collect()} == {1: "de", 2: "en"}
+
+
 def test_the_latent_space_is_fitted_to_all_passages(spark, monkeypatch):
     """Words that stand together in some 4,000 documents, of up to 90 words: all count."""
     monkeypatch.setattr(decontaminate, "RANK", 6)
